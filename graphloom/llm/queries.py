@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.llm import canonical, split, survivor, tokenize
+from graphloom.llm import canonical, garbled, leakage, neardup, split, survivor, tokenize
 from graphloom.runtime import read
 
 
@@ -28,6 +28,18 @@ def p1_unmatched(spark, d):
     return out.where(F.col("entry") == canonical.UNMATCHED).groupBy("table_name", "value").agg(F.count("*").alias("n"))
 
 
+def _near(spark, d):
+    return neardup.near_duplicates(read(spark, d, "sample_data"), "rec_id", ("title", "description"), "description")
+
+
+def p2_found(spark, d):
+    return neardup.expand(*_near(spark, d))
+
+
+def p2_classes(spark, d):
+    return neardup.class_report(*_near(spark, d))
+
+
 def p4_pieces(spark, d):
     return split.pieces(read(spark, d, "chunks"))
 
@@ -55,15 +67,37 @@ def p8_counts(spark, d):
     return tokenize.corpus_counts(p8_ids(spark, d))
 
 
+def p9_found(spark, d):
+    return leakage.leaks(read(spark, d, "documents"), read(spark, d, "eval_items"))
+
+
+def p9_report(spark, d):
+    return leakage.leak_report(p9_found(spark, d), read(spark, d, "eval_items"))
+
+
+def p10_restored(spark, d):
+    return garbled.diagnose(read(spark, d, "documents"))
+
+
+def p10_found(spark, d):
+    return p10_restored(spark, d).select("doc_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_unmatched": p1_unmatched,
+    "p2_found": p2_found,
+    "p2_classes": p2_classes,
     "p4_found": p4_found,
     "p4_pieces": p4_pieces,
     "p5_found": p5_found,
     "p5_survivors": p5_survivors,
     "p8_ids": p8_ids,
     "p8_counts": p8_counts,
+    "p9_found": p9_found,
+    "p9_report": p9_report,
+    "p10_found": p10_found,
+    "p10_restored": p10_restored,
 }
 
 _WS = r"[\t\n\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -72,6 +106,19 @@ SELECT '{t}' AS table_name, id, rec_id, reviewed, revised_at, {c} AS txt, count(
 _fillers = ", ".join(f"'{x}'" for x in survivor.FILLERS)
 
 SQL = {
+    "p2_found": r"""
+WITH w AS (SELECT rec_id, list_sort(list_distinct(list_transform(regexp_extract_all(coalesce(title, '') || ' ' || description, '[\p{L}\p{N}]+'), lambda x: lower(x)))) AS s
+  FROM sample_data WHERE trim(regexp_replace(description, '\s', '', 'g')) <> ''),
+t AS (SELECT rec_id, unnest(s) AS x, len(s) AS n FROM w),
+c AS (SELECT a.rec_id AS rec_a, b.rec_id AS rec_b, a.n AS na, b.n AS nb, count(*) AS k
+  FROM t a JOIN t b ON a.x = b.x AND a.rec_id < b.rec_id AND b.n >= 0.7 * a.n AND a.n >= 0.7 * b.n GROUP BY ALL)
+SELECT rec_a, rec_b FROM c WHERE k >= 0.7 * (na + nb - k) - 1e-9""",
+    "p9_found": r"""
+WITH i AS (SELECT item_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS w FROM eval_items),
+d AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS w FROM documents WHERE text IS NOT NULL),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i) q),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d) q)
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
     "p4_found": rf"""
 SELECT chunk_id FROM chunks
 WHERE length(text) > 10000 OR len(list_filter(regexp_split_to_array(text, '{_WS}'), lambda w: w <> '')) > 1000""",
