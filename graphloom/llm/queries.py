@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.llm import canonical, garbled, leakage, neardup, split, survivor, tokenize
+from graphloom.llm import boilerplate, canonical, garbled, leakage, neardup, split, survivor, tokenize
 from graphloom.runtime import read
 
 
@@ -40,6 +40,14 @@ def p2_classes(spark, d):
     return neardup.class_report(*_near(spark, d))
 
 
+def p3_found(spark, d):
+    return boilerplate.judge(read(spark, d, "chunks")).where("furniture").select("chunk_id", "line_no")
+
+
+def p3_articles(spark, d):
+    return boilerplate.articles(read(spark, d, "chunks"))
+
+
 def p4_pieces(spark, d):
     return split.pieces(read(spark, d, "chunks"))
 
@@ -88,6 +96,8 @@ QUERIES = {
     "p1_unmatched": p1_unmatched,
     "p2_found": p2_found,
     "p2_classes": p2_classes,
+    "p3_found": p3_found,
+    "p3_articles": p3_articles,
     "p4_found": p4_found,
     "p4_pieces": p4_pieces,
     "p5_found": p5_found,
