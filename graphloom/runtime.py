@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,3 +45,20 @@ def blank(c) -> F.Column:
     return c.isNull() | F.regexp_replace(c, r"[\s\p{Z}\x{85}\x1c-\x1f]+", "").eqNullSafe("")
 
 
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so it need not be installed there."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="graphloom-")) / "graphloom.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
