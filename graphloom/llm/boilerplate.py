@@ -32,7 +32,9 @@ MIN_PAGES = 8
 #: a word is kept in a node's name when at least this share of the chunks, and MIN_CHUNKS, hold it; else it is a slot
 FREQUENT, MIN_CHUNKS = 0.0005, 5
 #: least mean importance of a short line, and of sentences and list items
-SHORT, LONG = 0.42, 0.36
+SHORT, LONG = 0.42, 0.28
+#: the same for sentences beside furniture, and for lines that name the site
+BESIDE, NAMED = 0.36, 0.6
 #: least mean importance of a short line that stands among furniture
 BOXED = 0.75
 #: a title-like line of so many words that is not the page's own headline names another page
@@ -158,9 +160,9 @@ def judge(chunks: DataFrame) -> DataFrame:
     nodes = importance(lines)
     top = lines.where("headline_at > 0").groupBy("page").agg(F.min("chunk_ix").alias("headline_ix"))
     scored = (
-        lines.select("chunk_id", "line_no", "chunk_ix", "page", "kind", "headline_at", F.explode("nodes").alias("node"))
+        lines.select("chunk_id", "line_no", "chunk_ix", "page", "kind", "headline_at", F.exists("nodes", lambda x: x.contains("<s>")).alias("named"), F.explode("nodes").alias("node"))
         .join(nodes, "node", "left")
-        .groupBy("chunk_id", "line_no", "chunk_ix", "page", "kind", "headline_at")
+        .groupBy("chunk_id", "line_no", "chunk_ix", "page", "kind", "headline_at", "named")
         .agg(F.avg(F.coalesce("importance", F.lit(1.0))).alias("importance"))
         .join(top, "page", "left")
     )
@@ -169,7 +171,8 @@ def judge(chunks: DataFrame) -> DataFrame:
         | ((F.col("chunk_ix") == F.col("headline_ix")) & (F.col("line_no") < F.col("headline_at"))),
         F.lit(False),
     )
-    low = F.col("importance") < F.when(F.col("kind").isin("sentence", "item"), LONG).otherwise(SHORT)
+    least = F.when(F.col("named"), NAMED).when(F.col("kind").isin("sentence", "item"), LONG).otherwise(SHORT)
+    low = F.col("importance") < least
     furniture = F.when(F.col("kind") == "headline", False).otherwise(above | F.col("kind").isin("path", "tags", "title", "row") | low)
     first = scored.select("chunk_id", "line_no", "kind", "importance", furniture.alias("furniture"))
     # neighbours within the chunk, which is bounded
@@ -177,7 +180,10 @@ def judge(chunks: DataFrame) -> DataFrame:
     before, after, next_kind = F.lag("furniture").over(w), F.lead("furniture").over(w), F.lead("kind").over(w)
     among = (F.coalesce(before, after) & F.coalesce(after, before)) | next_kind.isin("title", "tags")
     boxed = F.col("kind").isin("short", "link") & (F.col("importance") < BOXED) & F.coalesce(F.col("among"), F.lit(False))
-    return first.withColumn("among", among).select("chunk_id", "line_no", "kind", "importance", (F.col("furniture") | boxed).alias("furniture"))
+    beside = F.col("kind").isin("sentence", "item") & (F.col("importance") < BESIDE) & F.coalesce(before | after, before, after, F.lit(False))
+    return first.withColumns({"among": among, "beside": beside}).select(
+        "chunk_id", "line_no", "kind", "importance", (F.col("furniture") | boxed | F.col("beside")).alias("furniture")
+    )
 
 
 def articles(chunks: DataFrame) -> DataFrame:

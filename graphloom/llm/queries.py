@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.llm import boilerplate, canonical, garbled, leakage, neardup, split, survivor, tokenize
+from graphloom.llm import boilerplate, canonical, garbled, leakage, names, neardup, split, survivor, tokenize
 from graphloom.runtime import read
 
 
@@ -67,6 +67,14 @@ def p5_found(spark, d):
     return p5_survivors(spark, d).where("bundle = 'account'").select("table_name", "id", "rec_id")
 
 
+def p7_entities(spark, d):
+    return names.entities(read(spark, d, "actors"))
+
+
+def p7_found(spark, d):
+    return names.variant_pairs(p7_entities(spark, d))
+
+
 def p8_ids(spark, d):
     return tokenize.token_ids(read(spark, d, "documents"))
 
@@ -102,6 +110,8 @@ QUERIES = {
     "p4_pieces": p4_pieces,
     "p5_found": p5_found,
     "p5_survivors": p5_survivors,
+    "p7_found": p7_found,
+    "p7_entities": p7_entities,
     "p8_ids": p8_ids,
     "p8_counts": p8_counts,
     "p9_found": p9_found,
