@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from graphloom.plans import integrity
+from graphloom.plans import documents, entities, integrity
 
-_MODULES = [integrity]
+_MODULES = [documents, entities, integrity]
 
 
 def queries() -> dict:
