@@ -120,8 +120,9 @@ def capitalize(c) -> Column:
 
 
 def percent(numerator, denominator, digits: int = 1) -> Column:
-    """A ratio as text such as '12.5%'; null when the denominator is 0."""
-    return F.format_string(f"%.{digits}f%%", F.try_divide(col(numerator).cast("double"), col(denominator).cast("double")) * 100)
+    """A ratio as text such as '12.5%', ties to the even digit; null when the denominator is 0."""
+    share = F.try_divide(col(numerator).cast("double"), col(denominator).cast("double")) * 100
+    return F.format_string(f"%.{digits}f%%", F.bround(share, digits))
 
 
 def csv_quote(c) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from graphloom.plans import documents, entities, integrity
+from graphloom.plans import documents, entities, integrity, quality
 
-_MODULES = [documents, entities, integrity]
+_MODULES = [documents, entities, integrity, quality]
 
 
 def queries() -> dict:
