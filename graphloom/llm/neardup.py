@@ -33,6 +33,8 @@ FREQUENT = 0.0005
 COST_STEP, MAX_EXTRA = 64, 8
 #: records of one word in a salted block
 BLOCK = 2000
+#: records of a step in a Python worker, pairs of a step of the filter, postings held before whole groups are joined; memory bounds
+RECORDS, PAIRS, POSTINGS = 256, 400_000, 20_000
 
 
 def word_set(*cols: str):
@@ -72,6 +74,8 @@ def _maps(h: np.ndarray, n_words: int) -> np.ndarray:
     return out
 
 
+_COLUMNS = ["gkey", "part", "side", "rep", "n", "extra", "slack", "p0", "p1", "w0", "w1", "w2", "w3"]
+_INTS = ["part", "side", "n", "extra", "slack"]
 _SCHEMA = "gkey bigint, part int, side int, rep bigint, n int, extra int, slack int, p0 bigint, p1 bigint, w0 bigint, w1 bigint, w2 bigint, w3 bigint"
 
 
@@ -81,48 +85,64 @@ def _postings(sets: DataFrame, frequent: dict[str, int], threshold: float, ratio
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lows = np.array(_buckets(ratio))
         for pdf in batches:
-            cols: list[list] = [[] for _ in range(13)]
-            for rep, ws in zip(pdf["rep"].tolist(), pdf["words"]):
-                h = _hash64(list(ws))
-                df = np.fromiter((frequent.get(w, 0) for w in ws), np.int64, len(ws))
-                order = np.lexsort((h, df))
-                h, df = h[order], df[order]
-                n = len(h)
-                whole = _maps(h, 4).view(np.int64)
-                b = int(np.searchsorted(lows, n, "right")) - 1
-                roles = [(0, b, math.ceil(2 * threshold / (1 + threshold) * n - 1e-9))]
-                least = math.ceil(threshold * n - 1e-9)
-                for bb in range(b, -1, -1):
-                    if lows[bb + 1] - 1 < least:
-                        break
-                    small = max(int(lows[bb]), least)
-                    roles.append((1, bb, math.ceil(threshold / (1 + threshold) * (n + small) - 1e-9)))
-                for side, bb, need in roles:
-                    p1 = n - need + 1
-                    cost = int(df[:p1].sum())
-                    extra = min(MAX_EXTRA, need, 1 + (cost // COST_STEP).bit_length())
-                    pre = h[: n - need + extra]
-                    pm = _maps(pre, 2)
-                    slack = len(pre) - int(np.bitwise_count(pm).sum())
-                    pmi = pm.view(np.int64)
-                    for t, d in zip(h[:p1], df[:p1].tolist()):
-                        g = _key(int(t), bb)
-                        s = max(1, -(-d // BLOCK))
-                        mine = _part(rep, s)
-                        # a block pairs one part of the indexed with one part of the probing records
-                        parts = [0] if s == 1 else [mine * s + j for j in range(s)] if side == 0 else [i * s + mine for i in range(s)]
-                        for p in parts:
-                            row = (g, p, side, rep, n, extra, slack, int(pmi[0]), int(pmi[1]), int(whole[0]), int(whole[1]), int(whole[2]), int(whole[3]))
-                            for c, v in zip(cols, row):
-                                c.append(v)
-            yield pd.DataFrame(dict(zip(("gkey", "part", "side", "rep", "n", "extra", "slack", "p0", "p1", "w0", "w1", "w2", "w3"), cols)))
+            # a few hundred records at a time keep the worker small
+            for at in range(0, len(pdf), RECORDS):
+                piece = pdf.iloc[at : at + RECORDS]
+                groups, counts, heads = [], [], []
+                for rep, ws in zip(piece["rep"].tolist(), piece["words"]):
+                    h = _hash64(list(ws))
+                    df = np.fromiter((frequent.get(w, 0) for w in ws), np.int64, len(ws))
+                    order = np.lexsort((h, df))
+                    h, df = h[order], df[order]
+                    n = len(h)
+                    whole = _maps(h, 4)
+                    b = int(np.searchsorted(lows, n, "right")) - 1
+                    roles = [(0, b, math.ceil(2 * threshold / (1 + threshold) * n - 1e-9))]
+                    least = math.ceil(threshold * n - 1e-9)
+                    for bb in range(b, -1, -1):
+                        if lows[bb + 1] - 1 < least:
+                            break
+                        small = max(int(lows[bb]), least)
+                        roles.append((1, bb, math.ceil(threshold / (1 + threshold) * (n + small) - 1e-9)))
+                    for side, bb, need in roles:
+                        p1 = n - need + 1
+                        cost = int(df[:p1].sum())
+                        extra = min(MAX_EXTRA, need, 1 + (cost // COST_STEP).bit_length())
+                        pre = h[: n - need + extra]
+                        pm = _maps(pre, 2)
+                        slack = len(pre) - int(np.bitwise_count(pm).sum())
+                        keys, parts = _places(h[:p1], df[:p1], bb, side, rep)
+                        groups.append(np.stack([keys, parts]))
+                        counts.append(len(keys))
+                        heads.append((side, rep, n, extra, slack, *pm.view(np.int64).tolist(), *whole.view(np.int64).tolist()))
+                if not heads:
+                    continue
+                place = np.concatenate(groups, 1)
+                head = np.repeat(np.array(heads, np.int64), counts, 0)
+                out = pd.DataFrame(np.column_stack([place[0], place[1], head]), columns=_COLUMNS)
+                yield out.astype({c: np.int32 for c in _INTS})
 
     return spread(sets).mapInPandas(run, _SCHEMA)
 
 
-def _key(token: int, bucket: int) -> int:
-    k = (token * 0x9E3779B97F4A7C15 + bucket * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF
-    return k - (1 << 64) if k >= 1 << 63 else k
+def _places(tokens: np.ndarray, df: np.ndarray, bucket: int, side: int, rep: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, part) of the groups a record joins for its prefix words.
+
+    A word held by d records is cut into s = d / BLOCK parts; a group pairs one
+    part of the indexed records with one part of the probing ones.
+    """
+    with np.errstate(over="ignore"):
+        keys = (tokens * np.uint64(0x9E3779B97F4A7C15) + np.uint64(bucket) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
+    if not len(df) or df.max() <= BLOCK:
+        return keys, np.zeros(len(keys), np.int64)
+    out_k, out_p = [], []
+    for k, d in zip(keys.tolist(), df.tolist()):
+        s = max(1, -(-d // BLOCK))
+        mine = _part(rep, s)
+        parts = [0] if s == 1 else [mine * s + j for j in range(s)] if side == 0 else [i * s + mine for i in range(s)]
+        out_k += [k] * len(parts)
+        out_p += parts
+    return np.array(out_k, np.int64), np.array(out_p, np.int64)
 
 
 def _part(rep: int, s: int) -> int:
@@ -149,9 +169,8 @@ def _candidates(posts: DataFrame, threshold: float) -> DataFrame:
         at = 0
         cum = np.cumsum(reach)
         while at < len(prb):
-            # slices of at most about two million pairs bound the memory
             base = cum[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(cum, base + 2_000_000, "right")))
+            end = max(at + 1, int(np.searchsorted(cum, base + PAIRS, "right")))
             r = reach[at:end]
             tot = int(r.sum())
             if tot:
@@ -178,7 +197,7 @@ def _candidates(posts: DataFrame, threshold: float) -> DataFrame:
         return (np.concatenate(outs_a), np.concatenate(outs_b)) if outs_a else (z, z)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["gkey", "part", "side", "rep", "n", "extra", "slack", "p0", "p1", "w0", "w1", "w2", "w3"]
+        names = _COLUMNS
         held: list[dict[str, np.ndarray]] = []
         size = 0
 
@@ -202,7 +221,7 @@ def _candidates(posts: DataFrame, threshold: float) -> DataFrame:
         for pdf in batches:
             held.append({c: pdf[c].to_numpy() for c in names})
             size += len(pdf)
-            if size >= 50_000 and (out := flush(False)) is not None:
+            if size >= POSTINGS and (out := flush(False)) is not None:
                 yield out
         if held and size and (out := flush(True)) is not None:
             yield out
