@@ -76,7 +76,7 @@ def normalize_name(c) -> Column:
 
 
 def name_similarity(a, b, by_word: bool = False) -> Column:
-    """Similarity of two normalised names: 0 empty, 1 equal, 0.8 contained, else token Jaccard plus keyword bonus, at most 1.
+    """Similarity of two normalised names: 0 empty, 1 equal, 0.8 contained, else token Jaccard plus a bonus when a keyword is shared, at most 1.
 
     ``by_word`` asks containment to fall on word boundaries.
     """
@@ -84,7 +84,7 @@ def name_similarity(a, b, by_word: bool = False) -> Column:
     ta, tb = F.array_distinct(words(a)), F.array_distinct(words(b))
     shared = F.array_intersect(ta, tb)
     jaccard = F.try_divide(F.size(shared).cast("double"), F.size(F.array_union(ta, tb)).cast("double"))
-    hits = F.size(F.array_intersect(shared, F.array(*(F.lit(k) for k in SIMILARITY_KEYWORDS))))
+    bonus = F.when(F.arrays_overlap(shared, F.array(*(F.lit(k) for k in SIMILARITY_KEYWORDS))), KEYWORD_BONUS).otherwise(0.0)
     if by_word:
         pa, pb = F.concat(F.lit(" "), a, F.lit(" ")), F.concat(F.lit(" "), b, F.lit(" "))
         inside = pa.contains(pb) | pb.contains(pa)
@@ -94,7 +94,7 @@ def name_similarity(a, b, by_word: bool = False) -> Column:
         F.when((F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == ""), F.lit(0.0))
         .when(a == b, F.lit(1.0))
         .when(inside, F.lit(CONTAINMENT_SCORE))
-        .otherwise(F.least(F.lit(1.0), F.coalesce(jaccard, F.lit(0.0)) + KEYWORD_BONUS * hits))
+        .otherwise(F.least(F.lit(1.0), F.coalesce(jaccard, F.lit(0.0)) + bonus))
     )
 
 
@@ -122,7 +122,7 @@ def capitalize(c) -> Column:
 def percent(numerator, denominator, digits: int = 1) -> Column:
     """A ratio as text such as '12.5%', ties to the even digit; null when the denominator is 0."""
     share = F.try_divide(col(numerator).cast("double"), col(denominator).cast("double")) * 100
-    return F.format_string(f"%.{digits}f%%", F.bround(share, digits))
+    return F.when(share.isNotNull(), F.format_string(f"%.{digits}f%%", F.bround(share, digits)))
 
 
 def csv_quote(c) -> Column:

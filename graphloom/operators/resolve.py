@@ -264,7 +264,7 @@ def _best(norm: str, names: list[tuple[str, str]]) -> str | None:
         else:
             b = set(other.split())
             both = a & b
-            s = min(1.0, len(both) / len(a | b) + KEYWORD_BONUS * len(both & set(SIMILARITY_KEYWORDS)))
+            s = min(1.0, len(both) / len(a | b) + KEYWORD_BONUS * bool(both & set(SIMILARITY_KEYWORDS)))
         if s > best:
             best, ident = s, i
     return ident

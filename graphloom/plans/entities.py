@@ -190,7 +190,7 @@ def _sim(a: str, b: str) -> str:
     kw = ", ".join(f"'{k}'" for k in X.SIMILARITY_KEYWORDS)
     return (
         f"CASE WHEN coalesce({a}, '') = '' OR coalesce({b}, '') = '' THEN 0.0::double WHEN {a} = {b} THEN 1.0::double WHEN contains({a}, {b}) OR contains({b}, {a}) THEN 0.8::double"
-        f" ELSE least(1.0::double, len(list_intersect({w(a)}, {w(b)})) / len(list_distinct(list_concat({w(a)}, {w(b)})))::double + 0.2 * len(list_intersect(list_intersect({w(a)}, {w(b)}), [{kw}]))) END"
+        f" ELSE least(1.0::double, len(list_intersect({w(a)}, {w(b)})) / len(list_distinct(list_concat({w(a)}, {w(b)})))::double + CASE WHEN len(list_intersect(list_intersect({w(a)}, {w(b)}), [{kw}])) > 0 THEN 0.2::double ELSE 0.0::double END) END"
     )
 
 
