@@ -59,13 +59,25 @@ def host_of(source: str | None) -> tuple[str, str]:
 
 
 def node_name(part: str, site: str, frequent: frozenset[str]) -> str:
-    """Name of a content node: words as they are, numbers, the site's name and rare words as slots."""
+    """Name of a content node: words as they are, numbers, the site's name and rare words as slots.
+
+    A part of as many rare words as others says too little by its slots and keeps its words.
+    """
+    rare = known = 0
 
     def slot(m: re.Match) -> str:
+        nonlocal rare, known
         w = m.group().lower()
-        return "#" if w.isdigit() else "<s>" if w == site else w if w in frequent else "<x>"
-
-    return _WORD.sub(slot, part.strip())
+        if w.isdigit():
+            return "#"
+        if w == site or w in frequent:
+            known += 1
+            return "<s>" if w == site else w
+        rare += 1
+        return "<x>"
+
+    out = _WORD.sub(slot, part.strip())
+    return out if rare < known or not rare else part.strip().lower()
 
 
 def style(line: str, title: str | None) -> str:

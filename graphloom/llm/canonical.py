@@ -104,10 +104,11 @@ def osa(a: str, b: str, limit: int) -> int:
             cur[j] = v
             if v < least:
                 least = v
-        if least > limit:
+        # a transposition reaches back two rows
+        if least > limit and min(prev) > limit:
             return limit + 1
         before, prev = prev, cur
-    return prev[lb]
+    return min(prev[lb], limit + 1)
 
 
 def _bag(s: str) -> np.ndarray:
