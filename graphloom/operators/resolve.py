@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import MATCH_THRESHOLD, name_similarity, normalize_name, stable_id, strip, words, year_in
+from graphloom.functions.text import KEYWORD_BONUS, MATCH_THRESHOLD, name_similarity, normalize_name, stable_id, strip, words, year_in
 
 #: rows up to which the entities of a join are broadcast; larger sides are shuffled
 BROADCAST_ROWS = 100_000
@@ -109,28 +109,64 @@ def exact_lookup(mentions: DataFrame, keys: DataFrame, kind: str = "kind", name:
 def fuzzy_best_match(mentions: DataFrame, entities: DataFrame, kind: str = "kind", name: str = "mention", threshold: float = MATCH_THRESHOLD, by_word: bool = False) -> DataFrame:
     """(kind, name, entity_id, score): the most similar entity of each distinct mention above the threshold.
 
-    ``entities`` are (kind, entity_name, id, ord); ties go to the smaller ord. A
-    pair can only pass when it shares a word or one name contains the other, so
-    candidates come from an equi-join on words; with containment on characters a
-    contained name also shares its padded trigrams, which form the second join.
-    Names shorter than three characters are compared by themselves as one gram.
+    ``entities`` are (kind, entity_name, id, ord); ties go to the smaller ord. No
+    nested loop: a pair can only pass when
+
+    * one name contains the other, so the longer holds every trigram of the
+      shorter: each name probes with its single rarest trigram (names of one or two
+      characters with themselves) against all grams of the other side, or
+    * enough words are shared, so one of the rarest words of each is shared (prefix
+      filter at the threshold less the keyword bonus).
     """
     m = mentions.select(F.col(kind).alias("kind"), F.col(name).alias("m")).distinct().withColumn("mn", normalize_name("m")).where("mn <> ''")
     e = entities.select("kind", "entity_name", "id", "ord").withColumn("en", normalize_name("entity_name")).where("en <> ''")
-    grams = lambda c: F.array_distinct(
-        F.when(F.char_length(c) < 3, F.array(F.col(c))).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(c) - 2, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(3))))
-    )
-    keys = (lambda c: F.array_union(words(c), F.lit([]).cast("array<string>") if by_word else grams(c)))
-    mk = m.select("kind", "m", "mn", F.explode(keys("mn")).alias("g"))
-    ek = e.select("kind", "en", "id", "ord", F.explode(keys("en")).alias("g"))
-    # rows of distinct normalised names only: equal names meet once
-    pairs = mk.select("kind", "mn", "g").distinct().join(ek.select("kind", "en", "g").distinct(), ["kind", "g"]).select("kind", "mn", "en").distinct()
+    # distinct normalised names only: equal names meet once
+    dm, de = m.select("kind", F.col("mn").alias("n")).distinct(), e.select("kind", F.col("en").alias("n")).distinct()
+
+    def keyed(df: DataFrame, keys: Column) -> DataFrame:
+        return df.select("kind", "n", F.explode(F.array_distinct(keys)).alias("g"))
+
+    def substrings(k: int) -> Column:
+        return F.when(
+            F.char_length("n") >= k, F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("n") - (k - 1), F.lit(1))), lambda i: F.substring(F.col("n"), i, F.lit(k)))
+        ).otherwise(F.array().cast("array<string>"))
+
+    def rarest(keys: DataFrame, index: DataFrame) -> DataFrame:
+        """(kind, n, g): each name's key that is rarest on the other side; a name with a key unknown there is inside none."""
+        freq = index.groupBy("kind", "g").agg(F.count("*").alias("f"))
+        ranked = keys.join(freq, ["kind", "g"], "left").groupBy("kind", "n").agg(F.min(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "g")).alias("x"))
+        return ranked.where("x.f > 0").select("kind", "n", F.col("x.g").alias("g"))
+
+    def meet(probe: DataFrame, index: DataFrame, probe_is_mention: bool) -> DataFrame:
+        p, i = ("mn", "en") if probe_is_mention else ("en", "mn")
+        return probe.select("kind", "g", F.col("n").alias(p)).join(index.select("kind", "g", F.col("n").alias(i)), ["kind", "g"]).select("kind", "mn", "en")
+
+    grams = F.concat(substrings(1), substrings(2), substrings(3))
+    tri = F.when(F.char_length("n") < 3, F.array(F.col("n"))).otherwise(substrings(3))
+    all_m, all_e = keyed(dm, grams), keyed(de, grams)
+    short_in_long = meet(rarest(keyed(dm, tri), all_e), all_e, True).where(F.col("en").contains(F.col("mn")))
+    long_in_short = meet(rarest(keyed(de, tri), all_m), all_m, False).where(F.col("mn").contains(F.col("en")))
+    least = max(threshold - KEYWORD_BONUS, 0.0)
+    # more than ``least`` of the larger set must be shared
+    need = F.floor(F.lit(least) * F.size("gs") + 1e-9) + 1
+    prefix = F.greatest(F.size("gs") - need + 1, F.lit(1)).cast("int")
+    wm, we = keyed(dm, words("n")), keyed(de, words("n"))
+    both = wm.unionByName(we)
+    pm, pe = _prefix(wm, both, prefix), _prefix(we, both, prefix)
+    pairs = short_in_long.unionByName(long_in_short).unionByName(meet(pm, pe, True)).distinct()
     scored = pairs.withColumn("score", name_similarity("mn", "en", by_word)).where(F.col("score") > threshold)
     first = e.groupBy("kind", "en").agg(F.min(F.struct("ord", "id")).alias("f"))
     best = scored.join(first, ["kind", "en"]).groupBy("kind", "mn").agg(F.min(F.struct((-F.col("score")).alias("neg"), "f.ord", "f.id")).alias("b"))
     return m.join(best, ["kind", "mn"]).select("kind", F.col("m").alias(name), F.col("b.id").alias("entity_id"), (-F.col("b.neg")).alias("score"))
 
 
+def _prefix(keys: DataFrame, corpus: DataFrame, take: Column) -> DataFrame:
+    """(kind, n, g): the ``take`` rarest words of each name, ordered by their frequency over both sides, then by word."""
+    freq = corpus.groupBy("kind", "g").agg(F.count("*").alias("f"))
+    ranked = keys.join(freq, ["kind", "g"]).groupBy("kind", "n").agg(F.array_sort(F.collect_list(F.struct("f", "g"))).alias("gs"))
+    return ranked.select("kind", "n", F.explode(F.slice("gs", F.lit(1), take)).alias("x")).select("kind", "n", F.col("x.g").alias("g"))
+
+
 def missing_entities(rest: DataFrame) -> DataFrame:
     """Entities made from endpoints that match nothing: one per (kind, lower-cased name), with defaults by kind.
 

@@ -28,16 +28,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Repartition before CPU-heavy Python work when the scan has too few splits.
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores before CPU-heavy Python work when the input has too few splits.
 
-    A single small parquet file arrives as one or two partitions; its rows are
-    dealt round-robin (or by ``cols``) over the default parallelism.
+    A scan of much data has many splits and is left as it is. A small table may
+    arrive as one file, and adaptive execution may have merged a small shuffle
+    into one partition; such rows are repartitioned round-robin.
     """
-    n = max(df.sparkSession.sparkContext.defaultParallelism, 1)
-    if len(df.inputFiles()) >= n:
-        return df
-    return df.repartition(2 * n, *cols) if cols else df.repartition(2 * n)
+    spark = df.sparkSession
+    cores = max(spark.sparkContext.defaultParallelism, 1)
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bitLength()
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    unknown = size > 62  # no estimate, as for checkpointed rows
+    if not unknown:
+        # the files of a small table are few enough to be listed
+        if size > (cores * split).bit_length() or len(df.inputFiles()) >= cores:
+            return df
+    return df.repartition(max(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def blank(c) -> F.Column:
@@ -51,7 +58,10 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, so it need not be installed there."""
+    """Send this package to the Python workers, once per application, so it need not be installed there.
+
+    The archive is written on the driver and fetched by executors from Spark's own file server.
+    """
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
