@@ -37,12 +37,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = max(spark.sparkContext.defaultParallelism, 1)
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bitLength()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    unknown = size > 62  # no estimate, as for checkpointed rows
+    unknown = size >= 1 << 60  # no estimate, as for checkpointed rows
     if not unknown:
         # the files of a small table are few enough to be listed
-        if size > (cores * split).bit_length() or len(df.inputFiles()) >= cores:
+        if size > cores * split or len(df.inputFiles()) >= cores:
             return df
     return df.repartition(max(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
