@@ -309,4 +309,4 @@ def assign(values: DataFrame, canonical: DataFrame, keys: list[str], list_name:
 
     types = dict(values.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", entry string"
-    return todo.select(*keys, list_name, value).mapInPandas(run, schema)
+    return todo.select(*dict.fromkeys([*keys, list_name, value])).mapInPandas(run, schema)
