@@ -31,6 +31,8 @@ RATIO = 1.15
 FREQUENT = 0.0005
 #: estimated candidates per unit of extra prefix, and the longest extension
 COST_STEP, MAX_EXTRA = 64, 8
+#: exact copies up to which a class is expanded into all pairs
+FULL = 200
 #: records of one word in a salted block
 BLOCK = 2000
 #: records of a step in a Python worker, pairs of a step of the filter, postings held before whole groups are joined; memory bounds
@@ -48,7 +50,7 @@ def classes(records: DataFrame, key: str, cols: tuple[str, ...]) -> tuple[DataFr
     rows = records.select(F.col(key).alias("key"), word_set(*cols).alias("words")).where(F.size("words") > 0)
     rows = rows.withColumn("sig", F.sha2(F.concat_ws(" ", "words"), 256))
     sets = rows.groupBy("sig").agg(F.min("key").alias("rep"), F.first("words").alias("words"))
-    return rows.select("key", "sig").join(sets.select("sig", "rep"), "sig").select("key", "rep"), sets.select("rep", "words")
+    return rows.select("key", "sig").distinct().join(sets.select("sig", "rep"), "sig").select("key", "rep"), sets.select("rep", "words")
 
 
 def _hash64(tokens: np.ndarray | list[str]) -> np.ndarray:
@@ -257,15 +259,25 @@ def near_duplicates(records: DataFrame, key: str, cols: tuple[str, ...], require
     return members, similar_sets(sets, threshold)
 
 
-def expand(members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """All pairs of keys (rec_a < rec_b): across similar classes and within a class."""
-    ma = members.select(F.col("rep").alias("a"), F.col("key").alias("ka"))
-    mb = members.select(F.col("rep").alias("b"), F.col("key").alias("kb"))
-    across = pairs.select("a", "b").join(ma, "a").join(mb, "b").select("ka", "kb")
-    many = members.groupBy("rep").count().where("count > 1").select("rep")
-    m = members.join(many, "rep")
+def expand(members: DataFrame, pairs: DataFrame, full: int = FULL) -> DataFrame:
+    """Pairs of keys (rec_a < rec_b): across similar classes and within a class.
+
+    A class of at most ``full`` exact copies is expanded into all its pairs. In a
+    larger one every copy is paired with the representative, which alone stands
+    for the class in pairs with other classes, so a group of copies that holds a
+    third of all rows stays linear; :func:`class_report` has its membership.
+    """
+    size = members.groupBy("rep").agg(F.count("*").alias("n"))
+    sized = members.join(size, "rep")
+    shown = sized.where((F.col("n") <= full) | (F.col("key") == F.col("rep"))).select("rep", "key")
+    ma = shown.select(F.col("rep").alias("a"), F.col("key").alias("ka"))
+    mb = shown.select(F.col("rep").alias("b"), F.col("key").alias("kb"))
+    across = pairs.select("a", "b").join(ma, "a").join(mb, "b").where("ka <> kb").select("ka", "kb")
+    m = sized.where((F.col("n") > 1) & (F.col("n") <= full)).select("rep", "key")
     within = m.select("rep", F.col("key").alias("ka")).join(m.select("rep", F.col("key").alias("kb")), "rep").where("ka < kb").select("ka", "kb")
-    return across.unionByName(within).select(F.least("ka", "kb").alias("rec_a"), F.greatest("ka", "kb").alias("rec_b"))
+    star = sized.where((F.col("n") > full) & (F.col("key") != F.col("rep"))).select(F.col("rep").alias("ka"), F.col("key").alias("kb"))
+    out = across.unionByName(within).unionByName(star)
+    return out.select(F.least("ka", "kb").alias("rec_a"), F.greatest("ka", "kb").alias("rec_b"))
 
 
 def class_report(members: DataFrame, pairs: DataFrame) -> DataFrame:

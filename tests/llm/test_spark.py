@@ -50,6 +50,15 @@ def test_near_duplicates_against_brute_force(spark, block, monkeypatch):
     assert report[504] == report[505] == 504 and 500 not in report and 502 not in report
 
 
+def test_large_group_of_copies_stays_linear(spark):
+    rows = [(i, None, "same words here") for i in range(50)] + [(100, "extra", "same words here"), (101, None, "same words here there")]
+    df = spark.createDataFrame(rows, "rec_id bigint, title string, description string")
+    members, pairs = neardup.near_duplicates(df, "rec_id", ("title", "description"), "description")
+    got = {(r.rec_a, r.rec_b) for r in neardup.expand(members, pairs, full=10).collect()}
+    assert got == {(0, i) for i in range(1, 50)} | {(0, 100), (0, 101)}
+    assert {(r.rec_a, r.rec_b) for r in neardup.expand(members, pairs).collect()} == brute_pairs(rows)
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "rec_id bigint, title string, description string")
     members, pairs = neardup.near_duplicates(df, "rec_id", ("title", "description"), "description")
