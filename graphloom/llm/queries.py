@@ -133,6 +133,22 @@ t AS (SELECT rec_id, unnest(s) AS x, len(s) AS n FROM w),
 c AS (SELECT a.rec_id AS rec_a, b.rec_id AS rec_b, a.n AS na, b.n AS nb, count(*) AS k
   FROM t a JOIN t b ON a.x = b.x AND a.rec_id < b.rec_id AND b.n >= 0.7 * a.n AND a.n >= 0.7 * b.n GROUP BY ALL)
 SELECT rec_a, rec_b FROM c WHERE k >= 0.7 * (na + nb - k) - 1e-9""",
+    "p2_classes": r"""
+WITH w AS (SELECT rec_id, list_sort(list_distinct(list_transform(regexp_extract_all(coalesce(title, '') || ' ' || description, '[\p{L}\p{N}]+'), lambda x: lower(x)))) AS s
+  FROM sample_data WHERE trim(regexp_replace(description, '\s', '', 'g')) <> ''),
+g AS (SELECT s, min(rec_id) AS rep, count(*) AS n_copies FROM w WHERE len(s) > 0 GROUP BY s),
+t AS (SELECT rep, unnest(s) AS x, len(s) AS n FROM g),
+c AS (SELECT a.rep AS ra, b.rep AS rb, a.n AS na, b.n AS nb, count(*) AS k FROM t a JOIN t b ON a.x = b.x AND a.rep < b.rep AND b.n >= 0.7 * a.n AND a.n >= 0.7 * b.n GROUP BY ALL),
+p AS (SELECT ra, rb FROM c WHERE k >= 0.7 * (na + nb - k) - 1e-9),
+l AS (SELECT r, count(*) AS n FROM (SELECT ra AS r FROM p UNION ALL SELECT rb FROM p) q GROUP BY r)
+SELECT w.rec_id, g.rep AS class_id, g.n_copies, coalesce(l.n, 0) AS n_links FROM w JOIN g ON g.s = w.s LEFT JOIN l ON l.r = g.rep""",
+    "p9_report": r"""
+WITH i AS (SELECT item_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS w FROM eval_items),
+d AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS w FROM documents WHERE text IS NOT NULL),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i) q),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d) q),
+f AS (SELECT item_id, count(DISTINCT doc_id) AS n FROM dg JOIN ig USING (g) GROUP BY 1)
+SELECT e.item_id, suite, coalesce(n, 0) AS n_docs FROM eval_items e LEFT JOIN f ON f.item_id = e.item_id""",
     "p9_found": r"""
 WITH i AS (SELECT item_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS w FROM eval_items),
 d AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS w FROM documents WHERE text IS NOT NULL),
