@@ -6,6 +6,12 @@ by token, so the likelihood of a token under it is the likelihood of the repaire
 token in a character model of the corpus. The prior of each chain is pooled per
 source; both the character model and the priors are re-estimated from the
 posteriors, and each record is repaired by its posterior.
+
+Misread characters may have been written as character references afterwards
+(``&#195;&#169;``), so a text may be garbled and yet pure ASCII. References to
+non-ASCII characters are undone before a token is judged; the step is certain
+and takes no part in the priors. A rightly decoded text with references is as
+clean as the same text without them.
 """
 
 from __future__ import annotations
@@ -14,6 +20,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from html.entities import html5
 from itertools import pairwise
 
 import pandas as pd
@@ -49,10 +56,40 @@ _RUN = re.compile(r"[^\x00-\x7f]+")
 _HARD = re.compile("[�\u0080-\u0084\u0086-\u009f]")
 #: lead bytes of the blocks whose second byte is often a C1 control, at a token's end and not in an upper-case word
 _LEAD_END = re.compile("(?<![A-ZÀ-Þ])[ÂÃÄÅÐÑâ]$")
+#: a character reference, its ampersand possibly escaped again
+_REF = re.compile(r"&(?:amp;)*(?:#(\d{2,7})|#[xX]([0-9a-fA-F]{2,6})|([A-Za-z][A-Za-z0-9]{1,31};))(?:(?<=;)|;)")
 #: what a lone lead byte costs as a reading, in nats: the lost character has some probability
 _LOST = 3.0
 
 
+def unescape(s: str, literal: bool = False) -> str:
+    """``s`` without references to non-ASCII characters; those to ASCII characters stay.
+
+    Numbers 128 to 159 mean bytes of cp1252, as in web readers, or with
+    ``literal`` the C1 controls themselves.
+    """
+    if "&" not in s:
+        return s
+
+    def char(m: re.Match) -> str:
+        dec, hexa, name = m.groups()
+        if name:
+            c = html5.get(name, "")
+        else:
+            n = int(dec) if dec else int(hexa, 16)
+            if n > 0x10FFFF or 0xD800 <= n <= 0xDFFF:
+                return m.group()
+            c = chr(n)
+            if 0x80 <= n <= 0x9F and not literal:
+                try:
+                    c = bytes([n]).decode("cp1252")
+                except UnicodeDecodeError:
+                    pass
+        return c if c and not any(ord(x) < 128 for x in c) else m.group()
+
+    return _REF.sub(char, s)
+
+
 def _encode(s: str, codec: str) -> bytes | None:
     """Bytes of ``s``; codecs with holes let the C1 control of an undefined byte through, as web readers do."""
     try:
@@ -103,6 +140,8 @@ CHAINS |= {f"utf8>{c}*{n}": _utf8_from(c, n) for c in ("cp1252", "latin_1") for
 CHAINS |= {f"{t}>{r}": _single(t, r) for t, r in SINGLE_BYTE}
 BLANKED = "utf8>latin_1>blanked"
 NAMES = [CLEAN, *CHAINS, BLANKED]
+#: added to the chain of a record whose garbled characters stood as references
+ESCAPED = ">escaped"
 
 
 def repair_token(token: str, chain: str) -> str | None:
@@ -200,9 +239,16 @@ class Reader:
         got = self.memo.get(token)
         if got is None:
             lp = self.model.token
-            lone = bool(_LEAD_END.search(token))
-            alts = [(c, lp(r) - _LOST * (lone and c == BLANKED), r) for c in NAMES[1:] if (r := repair_token(token, c)) is not None]
-            got = lp(token), alts
+            plain, literal = unescape(token), unescape(token, True)
+            lone = bool(_LEAD_END.search(plain))
+            alts = []
+            for c in NAMES[1:]:
+                r = repair_token(plain, c)
+                if r is None and literal != plain:
+                    r = repair_token(literal, c)
+                if r is not None:
+                    alts.append((c, lp(r) - _LOST * (lone and c == BLANKED), r))
+            got = lp(plain), alts
             if len(self.memo) > 200_000:
                 self.memo.clear()
             self.memo[token] = got
@@ -228,8 +274,8 @@ class Reader:
 
 
 def odd_tokens(text: str) -> Counter:
-    """The tokens of a text that hold non-ASCII characters, with their counts."""
-    return Counter(t for t in _TOKEN.findall(text) if not t.isascii())
+    """The tokens of a text that hold non-ASCII characters or references to them, with their counts."""
+    return Counter(t for t in _TOKEN.findall(text) if not unescape(t).isascii())
 
 
 def _pass(docs: DataFrame, reader_args, text: str) -> DataFrame:
@@ -252,13 +298,13 @@ def _pass(docs: DataFrame, reader_args, text: str) -> DataFrame:
 
         for pdf in batches:
             for t, bucket in zip(pdf[text], pdf["bucket"]):
-                if not t or t.isascii():
+                toks = odd_tokens(t) if t and not unescape(t).isascii() else None
+                if not toks:
                     chains[bucket, CLEAN] += 1.0
                     continue
-                toks = odd_tokens(t)
                 if reader is None:
                     for k, n in toks.items():
-                        add(k, n)
+                        add(unescape(k), n)
                     continue
                 post, fixes = reader.posterior(toks, bucket)
                 for c, p in post.items():
@@ -267,8 +313,9 @@ def _pass(docs: DataFrame, reader_args, text: str) -> DataFrame:
                 c = max(post, key=post.get)
                 for k, n in toks.items():
                     r, w = fixes[c].get(k, (None, 0.0)) if c != CLEAN else (None, 0.0)
-                    if not _HARD.search(k):
-                        add(k, n * (1 - post[c] * w) if r else n)
+                    plain = unescape(k)
+                    if not _HARD.search(plain):
+                        add(plain, n * (1 - post[c] * w) if r else n)
                     if r:
                         add(r, n * post[c] * w)
         rows = [("pair", k, 0, n) for k, n in pairs.items()] + [("chain", c, b, n) for (b, c), n in chains.items()]
@@ -306,9 +353,10 @@ def diagnose(docs: DataFrame, model=None, key: str = "doc_id", text: str = "text
 
     A record is garbled when the posterior of having a chain is above one half or
     when it holds replacement characters or C1 controls, which no right decoding
-    leaves. ``restored`` repairs each token by its responsibility; ``complete``
-    tells whether no mark of loss remains (replacement characters, lone lead
-    bytes). Null, empty and ASCII texts are never garbled; repeated rows come out
+    leaves, as such or as references. ``restored`` repairs each token by its
+    responsibility; ``complete`` tells whether no mark of loss remains (replacement
+    characters, lone lead bytes). Null and empty texts and ASCII texts without
+    references to other characters are never garbled; repeated rows come out
     each; a null source is a source of its own; extra columns are ignored.
     """
     args = model or fit(docs, key, text, source)
@@ -318,9 +366,9 @@ def diagnose(docs: DataFrame, model=None, key: str = "doc_id", text: str = "text
         for pdf in batches:
             rows = []
             for k, t, bucket in zip(pdf[key], pdf[text], pdf["bucket"]):
-                if not t or t.isascii():
+                if not t or (plain := unescape(t)).isascii():
                     continue
-                hard = bool(_HARD.search(t))
+                hard = bool(_HARD.search(plain))
                 post, fixes = reader.posterior(odd_tokens(t), bucket)
                 bad = 1.0 - post.get(CLEAN, 0.0)
                 if bad <= 0.5 and not hard:
@@ -331,7 +379,9 @@ def diagnose(docs: DataFrame, model=None, key: str = "doc_id", text: str = "text
                     by = fixes[c]
                     fixed = _TOKEN.sub(lambda m: by[m.group()][0] if m.group() in by and by[m.group()][1] > 0.5 else m.group(), t)
                     lost = c == BLANKED
-                rows.append((k, c, bad, fixed, not lost and not _HARD.search(fixed)))
+                    if any(w > 0.5 and unescape(x) != x for x, (_, w) in by.items()):
+                        c += ESCAPED
+                rows.append((k, c, bad, fixed, not lost and not _HARD.search(unescape(fixed))))
             yield pd.DataFrame(rows, columns=[key, "chain", "posterior", "restored", "complete"])
 
     kind = docs.schema[key].dataType.simpleString()
