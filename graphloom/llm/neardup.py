@@ -31,9 +31,7 @@ RATIO = 1.15
 FREQUENT = 0.0005
 #: estimated candidates per unit of extra prefix, and the longest extension
 COST_STEP, MAX_EXTRA = 64, 8
-#: exact copies up to which a class is expanded into all pairs
-FULL = 200
-#: records of one word in a salted block
+#: records of one word, and members of one class, in a salted block
 BLOCK = 2000
 #: records of a step in a Python worker, pairs of a step of the filter, postings held before whole groups are joined; memory bounds
 RECORDS, PAIRS, POSTINGS = 256, 400_000, 20_000
@@ -46,11 +44,19 @@ def word_set(*cols: str):
 
 
 def classes(records: DataFrame, key: str, cols: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """(membership: key, rep; sets: rep, words). Sets without a word belong to no class."""
-    rows = records.select(F.col(key).alias("key"), word_set(*cols).alias("words")).where(F.size("words") > 0)
+    """(membership: key, rep, first; sets: rep, words). Sets without a word belong to no class.
+
+    A class is all records of one word set, whatever their texts; ``first`` is the
+    least key of the records of the class whose columns are equal, null as empty.
+    """
+    text = F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c), F.lit("")) for c in cols)), 256)
+    rows = records.select(F.col(key).alias("key"), word_set(*cols).alias("words"), text.alias("text")).where(F.size("words") > 0)
     rows = rows.withColumn("sig", F.sha2(F.concat_ws(" ", "words"), 256))
     sets = rows.groupBy("sig").agg(F.min("key").alias("rep"), F.first("words").alias("words"))
-    return rows.select("key", "sig").distinct().join(sets.select("sig", "rep"), "sig").select("key", "rep"), sets.select("rep", "words")
+    keyed = rows.groupBy("key", "sig").agg(F.min("text").alias("text"))
+    copies = keyed.groupBy("sig", "text").agg(F.min("key").alias("first"))
+    members = keyed.join(copies, ["sig", "text"]).join(sets.select("sig", "rep"), "sig").select("key", "rep", "first")
+    return members, sets.select("rep", "words")
 
 
 def _hash64(tokens: np.ndarray | list[str]) -> np.ndarray:
@@ -247,7 +253,7 @@ def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, ratio: float = R
 
 
 def near_duplicates(records: DataFrame, key: str, cols: tuple[str, ...], required: str, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(membership: key, rep; pairs of representatives: a, b, similarity).
+    """(membership: key, rep, first; pairs of representatives: a, b, similarity).
 
     Records whose ``required`` column is null or blank take no part; a null value
     of another column counts as empty; records without a single word are similar
@@ -259,24 +265,36 @@ def near_duplicates(records: DataFrame, key: str, cols: tuple[str, ...], require
     return members, similar_sets(sets, threshold)
 
 
-def expand(members: DataFrame, pairs: DataFrame, full: int = FULL) -> DataFrame:
+def expand(members: DataFrame, pairs: DataFrame, full: int | None = None) -> DataFrame:
     """Pairs of keys (rec_a < rec_b): across similar classes and within a class.
 
-    A class of at most ``full`` exact copies is expanded into all its pairs. In a
-    larger one every copy is paired with the representative, which alone stands
-    for the class in pairs with other classes, so a group of copies that holds a
-    third of all rows stays linear; :func:`class_report` has its membership.
+    All pairs are listed, so a group of n copies gives n (n - 1) / 2 rows; its
+    members are dealt over salted blocks. With ``full`` set, the rows of one text
+    that more than ``full`` records hold letter by letter shrink to a star: each
+    copy is paired with the first, which alone stands for the text in the other
+    pairs. Differing texts are never put together.
     """
     size = members.groupBy("rep").agg(F.count("*").alias("n"))
-    sized = members.join(size, "rep")
-    shown = sized.where((F.col("n") <= full) | (F.col("key") == F.col("rep"))).select("rep", "key")
-    ma = shown.select(F.col("rep").alias("a"), F.col("key").alias("ka"))
-    mb = shown.select(F.col("rep").alias("b"), F.col("key").alias("kb"))
-    across = pairs.select("a", "b").join(ma, "a").join(mb, "b").where("ka <> kb").select("ka", "kb")
-    m = sized.where((F.col("n") > 1) & (F.col("n") <= full)).select("rep", "key")
-    within = m.select("rep", F.col("key").alias("ka")).join(m.select("rep", F.col("key").alias("kb")), "rep").where("ka < kb").select("ka", "kb")
-    star = sized.where((F.col("n") > full) & (F.col("key") != F.col("rep"))).select(F.col("rep").alias("ka"), F.col("key").alias("kb"))
-    out = across.unionByName(within).unionByName(star)
+    sized = members.join(size, "rep").withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int"))
+    star = None
+    if full is not None:
+        copies = members.groupBy("rep", "first").agg(F.count("*").alias("copies"))
+        sized = sized.join(copies, ["rep", "first"])
+        many = (F.col("copies") > full) & (F.col("key") != F.col("first"))
+        star = sized.where(many).select(F.col("first").alias("ka"), F.col("key").alias("kb"))
+        sized = sized.where(~many)
+    # one side lies in one block each, the other side's rows go to all blocks
+    salt = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    ma = sized.select(F.col("rep").alias("a"), F.col("key").alias("ka"), salt.alias("sa"))
+    mb = sized.select(F.col("rep").alias("b"), F.col("key").alias("kb"), salt.alias("sb"))
+    blocks = size.select("rep", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / BLOCK).cast("int") - 1)).alias("salt"))
+    ba, bb = blocks.select(F.col("rep").alias("a"), F.col("salt").alias("sa")), blocks.select(F.col("rep").alias("b"), F.col("salt").alias("sb"))
+    across = pairs.select("a", "b").join(ba, "a").join(bb, "b").join(ma, ["a", "sa"]).join(mb, ["b", "sb"]).where("ka <> kb").select("ka", "kb")
+    m = sized.where("n > 1").select("rep", "key", "parts", salt.alias("salt"))
+    all_blocks = m.select("rep", F.col("key").alias("ka"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
+    within = all_blocks.join(m.select("rep", "salt", F.col("key").alias("kb")), ["rep", "salt"]).where("ka < kb").select("ka", "kb")
+    out = across.unionByName(within)
+    out = out if star is None else out.unionByName(star)
     return out.select(F.least("ka", "kb").alias("rec_a"), F.greatest("ka", "kb").alias("rec_b"))
 
 

@@ -2,7 +2,7 @@
 
 import random
 
-from graphloom.llm import garbled
+from graphloom.llm import garbled, neardup
 
 
 def test_garbled_characters_written_as_references(spark):
@@ -23,3 +23,32 @@ def test_garbled_characters_written_as_references(spark):
     got = {r.doc_id: r for r in garbled.diagnose(df).collect()}
     assert set(got) == set(bad)
     assert all(got[i].restored == t and got[i].complete and got[i].chain.endswith(">escaped") for i, t in bad.items())
+
+
+def test_large_classes_give_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 50)
+    rng = random.Random(5)
+    words = "one two three four five six seven".split()
+    rows = []
+    for i in range(230):
+        ws = list(words)
+        rng.shuffle(ws)
+        at = rng.randint(0, 3)
+        rows.append((i, " ".join(ws[:at]), " ".join(ws[at:])))
+    rows += [(500, None, "One two three four five six seven eight"), (501, "Eight", "seven six five four three two one")]
+    df = spark.createDataFrame(rows, "rec_id bigint, title string, description string")
+    found = neardup.near_duplicates(df, "rec_id", ("title", "description"), "description")
+    got = [(r.rec_a, r.rec_b) for r in neardup.expand(*found).collect()]
+    keys = [r[0] for r in rows]
+    want = {(a, b) for i, a in enumerate(keys) for b in keys[i + 1 :]}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_a_star_holds_copies_of_one_text_only(spark):
+    rows = [(i, None, "same words here") for i in range(30)] + [(40 + i, "Here", "words; same") for i in range(3)] + [(60, "", "here words same")]
+    df = spark.createDataFrame(rows, "rec_id bigint, title string, description string")
+    found = neardup.near_duplicates(df, "rec_id", ("title", "description"), "description")
+    got = [(r.rec_a, r.rec_b) for r in neardup.expand(*found, full=10).collect()]
+    texts = [0, 40, 41, 42, 60]
+    want = {(0, i) for i in range(1, 30)} | {(a, b) for i, a in enumerate(texts) for b in texts[i + 1 :]}
+    assert len(got) == len(want) and set(got) == want
