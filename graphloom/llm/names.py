@@ -24,7 +24,7 @@ from graphloom.runtime import cut_lineage, spread
 Q, ROWS = 2, 4
 #: similarity of q-gram sets that must meet, and with which probability
 MEET, RECALL = 0.5, 0.98
-#: a part held by more canonical forms than this does not tell names apart
+#: forms that hold a part of more canonical forms than this meet on it together with a second trait of the name
 COMMON = 64
 #: least Monge-Elkan similarity, and most typing errors between two writings of one name
 THRESHOLD, MAX_EDITS = 0.8, 2
@@ -55,6 +55,8 @@ NICKNAMES = {
     "max": ("maximilian",), "maks": ("maximilian",), "danny": ("daniel",), "benny": ("benjamin",), "sammy": ("samuel",), "jas": ("jasper",), "kaspar": ("jasper",), "len": ("leonardo",), "lenny": ("leonardo",), "mimi": ("mirela",), "fi": ("fiona",), "quin": ("quentin",),
 }
 
+#: given names of the table
+GIVEN = frozenset((*NICKNAMES, *(f for fs in NICKNAMES.values() for f in fs)))
 _KIND_OF = {s: k for k, ss in KINDS.items() for s in (k, *ss)}
 _WORD = re.compile(r"[^\W_]+")
 
@@ -200,6 +202,9 @@ def _verify_person(a: list[str], b: list[str]) -> float:
     s, _, i, j = pairs[0]
     edits = osa(la[i], lb[j], MAX_EDITS)
     ra, rb = la[:i] + la[i + 1 :], lb[:j] + lb[j + 1 :]
+    # beside initials alone, a given name is no mistyped family name
+    if not (ra and rb) and la[i] != lb[j] and (la[i] in GIVEN) != (lb[j] in GIVEN):
+        return 0.0
     total, n = s, 1
     # given names written out on both sides must agree
     while ra and rb:
@@ -280,13 +285,102 @@ def forms(names: DataFrame) -> DataFrame:
     return parsed.where("form <> ''").withColumn("fid", F.xxhash64("form", F.array_join("parts", " ")))
 
 
+def cuts(parts: tuple[str, ...], most: int = MAX_EDITS) -> set[tuple[str, ...]]:
+    """The sorted parts with up to ``most`` letters left out altogether; names so many edits apart share one."""
+    out = last = {tuple(sorted(parts))}
+    for _ in range(most):
+        last = {tuple(sorted((*ps[:i], p[:k] + p[k + 1 :], *ps[i + 1 :]))) for ps in last for i, p in enumerate(ps) for k in range(len(p))}
+        out = out | last
+    return out
+
+
+def _within(x: DataFrame, y: DataFrame) -> DataFrame:
+    """(x, y) of the distinct parts of ``x`` and ``y`` that may count as one part with typing errors, equal ones included; exact."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            # below four letters only one error is allowed
+            rows = [(p, c[0]) for p in pdf["part"] for c in cuts((p,), MAX_EDITS if len(p) > 3 else 1)]
+            yield pd.DataFrame(rows, columns=["part", "cut"])
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[[osa(a, b, MAX_EDITS) <= MAX_EDITS and _similar(a, b) > 0 for a, b in zip(pdf["x"], pdf["y"])]]
+
+    cx, cy = (spread(d.select("part")).mapInPandas(cut, "part string, cut string") for d in (x, y))
+    met = cx.withColumnRenamed("part", "x").join(cy.withColumnRenamed("part", "y"), "cut").select("x", "y").distinct()
+    return met.mapInPandas(check, "x string, y string")
+
+
+def traits(form: str, parts: list[str], hot: set[str]) -> list[tuple[str, str, bool, bool]]:
+    """(part, trait, asks, answers): what a form that holds the common parts ``hot`` is met by.
+
+    Any pair that :func:`verify` accepts has a trait that one side asks for and the
+    other answers, on parts that are equal but for typing errors. Persons: an
+    initial against an initial or a name it may stand for, the start of another
+    name, another name or what it is short for ('~', again with typing errors).
+    Acronyms: their letters. Organisations: all parts with up to two letters left out.
+    """
+    out = set()
+    if form == "person":
+        initials = {t for t in parts if len(t) == 1}
+        for p in hot:
+            names = [t for t in parts if len(t) > 1]
+            names.remove(p)
+            out |= {(p, f"={c}", True, True) for c in initials}
+            for g in names:
+                out |= {(p, f"={c}", True, False) for c in _initials_of(g) - initials}
+                out |= {(p, f"^{g[:3]}", True, True)} if len(g) > 2 else set()
+                out |= {(p, f"~{x}", True, True) for x in (g, *NICKNAMES.get(g, ()))}
+    elif form == "acronym":
+        if parts[1] in hot:
+            out.add((parts[1], "@" + "".join(sorted(parts[0])), True, True))
+    else:
+        for p in hot:
+            rest = list(parts)
+            rest.remove(p)
+            out.add((p, "@" + "".join(sorted(t[0] for t in rest)), False, True))
+        # a long part without a common neighbour meets its like as a key of its own
+        if all(p in hot or len(p) < 6 for p in parts):
+            out |= {("", "#" + " ".join(c), True, True) for c in cuts(tuple(parts))}
+    return sorted(out)
+
+
+def _refined(distinct: DataFrame, common: DataFrame) -> DataFrame:
+    """Candidates (a, b), a < b, among forms with parts that equal a common one but for typing errors."""
+    held = distinct.select("fid", "form", "parts", F.explode(F.array_distinct("parts")).alias("part"))
+    near = _within(common, held.where(F.char_length("part") > 1).select("part").distinct())
+    near = cut_lineage(near.unionByName(near.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    hot = near.select(F.col("x").alias("part")).distinct().withColumn("hot", F.col("part"))
+    owners = held.join(hot, "part", "left").groupBy("fid").agg(F.first("form").alias("form"), F.first("parts").alias("parts"), F.collect_set("hot").alias("hot"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 500):
+                piece = pdf.iloc[at : at + 500]
+                rows = [(i, *t) for i, f, ps, hs in zip(piece["fid"], piece["form"], piece["parts"], piece["hot"]) for t in traits(f, list(ps), set(hs))]
+                yield pd.DataFrame(rows, columns=["fid", "part", "trait", "asks", "answers"])
+
+    met = cut_lineage(spread(owners).mapInPandas(run, "fid bigint, part string, trait string, asks boolean, answers boolean"))
+    asks, answers = met.where("asks").drop("asks", "answers"), met.where("answers").select(F.col("fid").alias("b"), "part", "trait")
+    named = F.col("trait").startswith("~")
+    names = asks.where(named).select(F.expr("substring(trait, 2)").alias("part")).distinct()
+    like = _within(names, names).select(F.concat(F.lit("~"), "x").alias("trait"), F.concat(F.lit("~"), "y").alias("like"))
+    asks = asks.where(~named).unionByName(asks.where(named).join(like, "trait").select("fid", "part", F.col("like").alias("trait")))
+    whole = asks.where("part = ''").unionByName(
+        asks.where("part <> ''").join(near, asks["part"] == near["x"]).select("fid", F.col("y").alias("part"), "trait")
+    )
+    pairs = whole.withColumnRenamed("fid", "a").join(answers, ["part", "trait"]).where("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def links(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b, score): verified links a < b between parsed forms."""
     distinct = parsed.groupBy("fid").agg(F.first("form").alias("form"), F.first("parts").alias("parts"))
     distinct = cut_lineage(distinct)
     held = distinct.select("fid", F.explode(F.array_distinct("parts")).alias("part")).where(F.char_length("part") > 3)
     df = held.groupBy("part").count()
-    # parts that tell names apart; a form without one is compared by all its parts together
+    # parts that tell names apart are keys; common ones are refined, and a form without a key is also compared by all its parts together
     keys = held.join(df.where(F.col("count") <= COMMON).select("part"), "part")
     whole = (
         distinct.join(keys.select("fid").distinct(), "fid", "left_anti")
@@ -314,6 +408,7 @@ def links(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
+    pairs = pairs.unionByName(_refined(distinct, df.where(F.col("count") > COMMON).select("part"))).distinct()
     both = pairs.join(distinct.select(F.col("fid").alias("a"), F.col("form").alias("fa"), F.col("parts").alias("pa")), "a").join(
         distinct.select(F.col("fid").alias("b"), F.col("form").alias("fb"), F.col("parts").alias("pb")), "b"
     )

@@ -2,7 +2,7 @@
 
 import random
 
-from graphloom.llm import garbled, neardup
+from graphloom.llm import garbled, names, neardup
 
 
 def test_garbled_characters_written_as_references(spark):
@@ -52,3 +52,23 @@ def test_a_star_holds_copies_of_one_text_only(spark):
     texts = [0, 40, 41, 42, 60]
     want = {(0, i) for i in range(1, 30)} | {(a, b) for i, a in enumerate(texts) for b in texts[i + 1 :]}
     assert len(got) == len(want) and set(got) == want
+
+
+def test_common_name_parts_still_meet(spark, monkeypatch):
+    people = ["Katarina Smithers", "K. Smithers", "Smithers, K.L.", "Kate Smithers", "Catarina Smithers", "Katarina Smihters", "Alex Smithers", "Alexander Smithers", "Victoria Smithers", "Vicky Smithers", "Jan Smithers", "Jon Smithers", "Ursula Jonesberg"]
+    bodies = ["Ocean Science Network Jesususheholm", "Ocean Scienec Netw. Jesususheholn", "OSN (Jesususheholm)", "OSN (Jesusushehlom)", "Air Health Trust Jesususheholm", "Forest Water Union Jesususheholm"]
+    df = spark.createDataFrame([(n, None) for n in people + bodies], "name string, affiliations array<string>")
+    parsed = names.forms(names.spellings(df))
+    every = {r.fid: (r.form, list(r.parts)) for r in parsed.collect()}
+    fids = sorted(every)
+    want = {(a, b) for i, a in enumerate(fids) for b in fids[i + 1 :] if names.verify(*every[a], *every[b]) >= names.THRESHOLD}
+    assert len(want) > 15
+    for common in (2, 0):
+        monkeypatch.setattr(names, "COMMON", common)
+        assert {(r.a, r.b) for r in names.links(parsed).collect()} == want
+
+
+def test_a_given_name_is_no_mistyped_family_name():
+    pair = lambda a, b: names.verify(*names.parse(a), *names.parse(b))
+    assert pair("B. Rozeruta", "Roberta Barusadidal") == 0
+    assert pair("B. Rozeruta", "Benjamin Rozertua") > names.THRESHOLD
