@@ -11,6 +11,8 @@ pages) have importance 0. Lines of low mean importance are removed.
 A short line between two removed lines, or above headlines of other pages or
 tags, heads or belongs to a box and needs a higher importance to stay.
 
+Pages of a host with equal text, whatever their addresses, count once in n and m.
+
 Hosts with few pages are merged into one tree, and the importance of a node is
 averaged over the hosts that hold it, so a page of a small site is judged by
 what the node is elsewhere.
@@ -131,6 +133,21 @@ def _lines(web: DataFrame, frequent: frozenset[str]) -> DataFrame:
     )
 
 
+def distinct_pages(web: DataFrame) -> DataFrame:
+    """(page): one address, the least, of every text that pages of a host hold, so that copies weigh once.
+
+    A page's text is folded as the set of its chunks' texts and places; titles may differ.
+    """
+    no_address = F.coalesce(F.col("source"), F.lit("")) == ""
+    page = F.when(no_address, F.concat(F.lit("chunk "), F.col("chunk_id").cast("string"))).otherwise(F.col("source"))
+    host = F.when(no_address, "").otherwise(F.lower(F.regexp_extract("source", "(?i)^[a-z][a-z0-9+.-]*://([^/?#]+)", 1)))
+    host = F.substring_index(F.substring_index(host, "@", -1), ":", 1)
+    place = F.coalesce(F.col("chunk_ix"), F.lit(0))
+    rows = web.select(host.alias("host"), page.alias("page"), F.xxhash64("text", place).alias("h"), F.xxhash64(place, "text").alias("g")).distinct()
+    folded = rows.groupBy("host", "page").agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("h"), F.sum(F.col("g").cast("decimal(20,0)")).alias("g"))
+    return folded.groupBy("host", "n", "h", "g").agg(F.min("page").alias("page")).select("page")
+
+
 def importance(lines: DataFrame) -> DataFrame:
     """(node, importance) of content nodes held by two or more pages of some tree.
 
@@ -169,7 +186,7 @@ def judge(chunks: DataFrame) -> DataFrame:
     # at most (mean distinct words of a chunk) / FREQUENT words
     frequent = frozenset(r[0] for r in words.groupBy("w").count().where(F.col("count") >= max(MIN_CHUNKS, FREQUENT * n)).select("w").collect())
     lines = _lines(web, frequent)
-    nodes = importance(lines)
+    nodes = importance(lines.join(distinct_pages(web), "page", "left_semi"))
     top = lines.where("headline_at > 0").groupBy("page").agg(F.min("chunk_ix").alias("headline_ix"))
     scored = (
         lines.select("chunk_id", "line_no", "chunk_ix", "page", "kind", "headline_at", F.exists("nodes", lambda x: x.contains("<s>")).alias("named"), F.explode("nodes").alias("node"))

@@ -2,7 +2,7 @@
 
 import random
 
-from graphloom.llm import garbled, names, neardup
+from graphloom.llm import boilerplate, garbled, names, neardup
 
 
 def test_garbled_characters_written_as_references(spark):
@@ -72,3 +72,17 @@ def test_a_given_name_is_no_mistyped_family_name():
     pair = lambda a, b: names.verify(*names.parse(a), *names.parse(b))
     assert pair("B. Rozeruta", "Roberta Barusadidal") == 0
     assert pair("B. Rozeruta", "Benjamin Rozertua") > names.THRESHOLD
+
+
+def test_copies_of_a_page_do_not_make_its_article_furniture(spark):
+    rng = random.Random(2)
+    w = lambda n: " ".join("".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(n))
+    rows = []
+    for i in range(40):
+        title = f"How {w(2)} changed {w(3)}"
+        body = [f"{w(9).capitalize()}.", f"{w(12).capitalize()}. {w(6).capitalize()}."]
+        for k in range(30 if i == 0 else 1):
+            rows.append((len(rows), 0, "\n".join(["Skip to content", title, *body, "Privacy policy"]), (None, f"https://www.site-x.example/{i}/{k}", title, "web")))
+    df = spark.createDataFrame(rows, "chunk_id bigint, chunk_ix int, text string, metadata struct<section_title:string,source:string,title:string,type:string>")
+    got = {(r.chunk_id, r.line_no) for r in boilerplate.judge(df).where("furniture").collect()}
+    assert got == {(i, k) for i in range(len(rows)) for k in (1, 5)}
