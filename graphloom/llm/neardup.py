@@ -1,15 +1,17 @@
 """Problem 2: records that share most of their words.
 
 Method: adaptive multi-match prefixes. Words are ordered from rare to frequent.
-Two sets with at least ``o`` common words share at least l words within their
-prefixes of length n - o + l. Records meet on the words of the shortest prefix
-(l = 1); a record whose estimated candidate cost is high takes a longer prefix
-and must share correspondingly more prefix words before it is verified. For two
-records the smaller l counts, which both prefixes cover.
+Two sets that must have at least ``o`` words in common share their i-th common
+word within prefixes of length n - o + i, for every i. So two similar sets always
+meet on their first common word; where the estimated candidate cost of a key, the
+number of records that post it, is high, the key is replaced by longer ones: the
+same words and one more shared word of a prefix one longer. The cost is counted
+over all records before any posting is written, and both records of a pair see
+the same key, so a longer prefix loses no pair. Postings hold a key, an id, two
+lengths and a bit map of 128 bits; everything after the ordering stays in the JVM.
 
 Sets alike in every word form one class and only its representative is joined.
-Lengths are cut into buckets so that the needed overlap, and with it the prefix,
-is tight; a word held by many prefixes is dealt over salted blocks.
+A key that is still frequent at the greatest depth is dealt over salted blocks.
 """
 
 from __future__ import annotations
@@ -18,23 +20,25 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.runtime import blank, cut_lineage, spread
 
 THRESHOLD = 0.70
-#: ratio of neighbouring length buckets
-RATIO = 1.15
-#: words held by a larger share of the classes are ranked by their count, the rest come first; bounds what is sent to the workers
+#: words held by a larger share of the classes are ordered by their count, the rest come before them in the order of their hash; bounds what the driver holds
 FREQUENT = 0.0005
-#: estimated candidates per unit of extra prefix, and the longest extension
-COST_STEP, MAX_EXTRA = 64, 8
-#: records of one word, and members of one class, in a salted block
+#: a key posted by more records gets one more shared word
+COST = 16_384
+#: most shared words in a key; the number of keys of a record grows with the depth
+DEPTH = 4
+#: postings of one key at the greatest depth, and members of one class, in a salted block
 BLOCK = 2000
-#: records of a step in a Python worker, pairs of a step of the filter, postings held before whole groups are joined; memory bounds
-RECORDS, PAIRS, POSTINGS = 256, 400_000, 20_000
+#: pairs of a step of the filter, and postings held before whole groups are joined; memory bounds
+PAIRS, POSTINGS = 200_000, 20_000
+#: keys of costly words sent to every executor; more are joined by a shuffle. 16 bytes each
+SENT = 1_000_000
 
 
 def word_set(*cols: str):
@@ -59,196 +63,180 @@ def classes(records: DataFrame, key: str, cols: tuple[str, ...]) -> tuple[DataFr
     return members, sets.select("rep", "words")
 
 
-def _hash64(tokens: np.ndarray | list[str]) -> np.ndarray:
-    import xxhash
-
-    return np.fromiter((xxhash.xxh64_intdigest(t) for t in tokens), np.uint64, len(tokens))
-
-
-def _buckets(ratio: float) -> list[int]:
-    """Lower ends of the length buckets: single lengths first, then growing by ``ratio``."""
-    lows, x = [1], 1.0
-    while lows[-1] < 10_000_000:
-        x = max(lows[-1] + 1, lows[-1] * ratio)
-        lows.append(int(math.ceil(x)))
-    return lows
-
-
-def _maps(h: np.ndarray, n_words: int) -> np.ndarray:
-    """Bit map of hashed words as n_words 64-bit words."""
-    out = np.zeros(n_words, np.uint64)
-    bit = (h >> np.uint64(7)) % np.uint64(64 * n_words)
-    np.bitwise_or.at(out, (bit >> np.uint64(6)).astype(np.intp), np.uint64(1) << (bit & np.uint64(63)))
-    return out
-
-
-_COLUMNS = ["gkey", "part", "side", "rep", "n", "extra", "slack", "p0", "p1", "w0", "w1", "w2", "w3"]
-_INTS = ["part", "side", "n", "extra", "slack"]
-_SCHEMA = "gkey bigint, part int, side int, rep bigint, n int, extra int, slack int, p0 bigint, p1 bigint, w0 bigint, w1 bigint, w2 bigint, w3 bigint"
-
-
-def _postings(sets: DataFrame, frequent: dict[str, int], threshold: float, ratio: float) -> DataFrame:
-    """Rows (gkey, part, side, ...) of every class on which candidates meet."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lows = np.array(_buckets(ratio))
-        for pdf in batches:
-            # a few hundred records at a time keep the worker small
-            for at in range(0, len(pdf), RECORDS):
-                piece = pdf.iloc[at : at + RECORDS]
-                groups, counts, heads = [], [], []
-                for rep, ws in zip(piece["rep"].tolist(), piece["words"]):
-                    h = _hash64(list(ws))
-                    df = np.fromiter((frequent.get(w, 0) for w in ws), np.int64, len(ws))
-                    order = np.lexsort((h, df))
-                    h, df = h[order], df[order]
-                    n = len(h)
-                    whole = _maps(h, 4)
-                    b = int(np.searchsorted(lows, n, "right")) - 1
-                    roles = [(0, b, math.ceil(2 * threshold / (1 + threshold) * n - 1e-9))]
-                    least = math.ceil(threshold * n - 1e-9)
-                    for bb in range(b, -1, -1):
-                        if lows[bb + 1] - 1 < least:
-                            break
-                        small = max(int(lows[bb]), least)
-                        roles.append((1, bb, math.ceil(threshold / (1 + threshold) * (n + small) - 1e-9)))
-                    for side, bb, need in roles:
-                        p1 = n - need + 1
-                        cost = int(df[:p1].sum())
-                        extra = min(MAX_EXTRA, need, 1 + (cost // COST_STEP).bit_length())
-                        pre = h[: n - need + extra]
-                        pm = _maps(pre, 2)
-                        slack = len(pre) - int(np.bitwise_count(pm).sum())
-                        keys, parts = _places(h[:p1], df[:p1], bb, side, rep)
-                        groups.append(np.stack([keys, parts]))
-                        counts.append(len(keys))
-                        heads.append((side, rep, n, extra, slack, *pm.view(np.int64).tolist(), *whole.view(np.int64).tolist()))
-                if not heads:
-                    continue
-                place = np.concatenate(groups, 1)
-                head = np.repeat(np.array(heads, np.int64), counts, 0)
-                out = pd.DataFrame(np.column_stack([place[0], place[1], head]), columns=_COLUMNS)
-                yield out.astype({c: np.int32 for c in _INTS})
-
-    return spread(sets).mapInPandas(run, _SCHEMA)
-
-
-def _places(tokens: np.ndarray, df: np.ndarray, bucket: int, side: int, rep: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, part) of the groups a record joins for its prefix words.
-
-    A word held by d records is cut into s = d / BLOCK parts; a group pairs one
-    part of the indexed records with one part of the probing ones.
+def _ordered(sets: DataFrame, frequent: dict[int, int], threshold: float) -> DataFrame:
+    """(rep, n, slip, tight, tokens, w0, w1): hashed words from rare to frequent and a parity map of them.
+
+    ``slip`` is how many words of the set may be missing from any similar set,
+    ``tight`` from one that is not smaller.
+    """
+    keys = np.array(sorted(frequent), np.int64)
+    values = np.array([frequent[k] for k in keys.tolist()], np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = batch.column("h")
+            n = np.diff(col.offsets.to_numpy())
+            h = col.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(n)), n)
+            df = np.zeros(len(h), np.int64)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                df = np.where(keys[at] == h, values[at], 0)
+            h = h[np.lexsort((h, df, row))]
+            # one bit a word by its hash; equal words of two sets cancel out
+            u = h.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            bit = np.uint64(1) << ((u >> np.uint64(40)) & np.uint64(63))
+            low = (u >> np.uint64(50)) & np.uint64(1) == 0
+            starts = np.r_[0, np.cumsum(n)[:-1]].astype(np.int64)
+            maps = [np.bitwise_xor.reduceat(np.where(m, bit, np.uint64(0)), starts).view(np.int64) if len(h) else np.zeros(0, np.int64) for m in (low, ~low)]
+            slip = n - np.ceil(threshold * n - 1e-9).astype(np.int64)
+            tight = n - np.ceil(2 * threshold / (1 + threshold) * n - 1e-9).astype(np.int64)
+            tokens = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(h))
+            cols = [batch.column("rep"), *(pa.array(x.astype(np.int32)) for x in (n, slip, tight)), tokens, *map(pa.array, maps)]
+            yield pa.RecordBatch.from_arrays(cols, ["rep", "n", "slip", "tight", "tokens", "w0", "w1"])
+
+    hashed = sets.select("rep", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    return spread(hashed).mapInArrow(run, "rep bigint, n int, slip int, tight int, tokens array<bigint>, w0 bigint, w1 bigint")
+
+
+def _sent(df: DataFrame) -> DataFrame:
+    """``df`` to be broadcast when it was counted to be small, else as it is."""
+    return F.broadcast(df) if df.count() <= SENT else df
+
+
+def _postings(tokens: DataFrame, costly: DataFrame, cost: int, depth: int) -> DataFrame:
+    """(rep, n, tight, w0, w1, key, depth, skips) of all records; ``costly`` holds the keys of costly single words.
+
+    ``skips`` is the number of words before the last one of the key that are no part of it.
+    """
+    level = tokens.select("*", F.posexplode(F.slice("tokens", F.lit(1), F.col("slip") + 1)).alias("pos", "key")).withColumn("depth", F.lit(1))
+    for d in range(1, depth + 1):
+        if d == depth:
+            break
+        here = level.where(F.col("depth") == d)
+        # words that few records hold at all need no count of their postings
+        here = here.join(_sent(costly), "key", "left_semi") if d == 1 else here
+        costly = cut_lineage(here.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > cost).select("key"))
+        if costly.isEmpty():
+            break
+        mark = _sent(costly.select("key", F.lit(d).alias("depth"), F.lit(True).alias("costly")))
+        # a further shared word stands at most slip + d words from the start; a set that may be similar by d words alone also stays
+        last = F.least(F.col("slip") + d, F.col("n") - 1)
+        more = F.when(F.col("pos") < last, F.sequence(F.col("pos") + 1, last)).otherwise(F.array().cast("array<int>"))
+        stays = F.when(F.col("n") - F.col("slip") <= d, F.array(F.lit(-1))).otherwise(F.array().cast("array<int>"))
+        level = (
+            level.join(mark, ["key", "depth"], "left")
+            .withColumn("next", F.explode(F.when(F.col("costly"), F.concat(stays, more)).otherwise(F.array(F.lit(-1)))))
+            .withColumns(
+                {
+                    "key": F.when(F.col("next") < 0, F.col("key")).otherwise(F.xxhash64("key", F.get("tokens", F.col("next")))),
+                    "depth": F.when(F.col("next") < 0, F.col("depth")).otherwise(F.lit(d + 1)),
+                    "pos": F.when(F.col("next") < 0, F.col("pos")).otherwise(F.col("next")),
+                }
+            )
+            .drop("costly", "next")
+        )
+    return level.select("rep", "n", "tight", "w0", "w1", "key", "depth", (F.col("pos") - F.col("depth") + 1).alias("skips"))
+
+
+def _candidates(posts: DataFrame, threshold: float, depth: int, block: int) -> DataFrame:
+    """(a, b) of representatives that meet on a key and may be similar by their lengths, skipped words and bit maps.
+
+    The postings of a key stand together, smaller sets first, so the partners of a
+    set are a run of those after it. A key holds at most COST postings, or ``block``
+    in a part of a salted one, so what a worker holds is bounded.
     """
-    with np.errstate(over="ignore"):
-        keys = (tokens * np.uint64(0x9E3779B97F4A7C15) + np.uint64(bucket) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
-    if not len(df) or df.max() <= BLOCK:
-        return keys, np.zeros(len(keys), np.int64)
-    out_k, out_p = [], []
-    for k, d in zip(keys.tolist(), df.tolist()):
-        s = max(1, -(-d // BLOCK))
-        mine = _part(rep, s)
-        parts = [0] if s == 1 else [mine * s + j for j in range(s)] if side == 0 else [i * s + mine for i in range(s)]
-        out_k += [k] * len(parts)
-        out_p += parts
-    return np.array(out_k, np.int64), np.array(out_p, np.int64)
-
-
-def _part(rep: int, s: int) -> int:
-    return (rep * 0x9E3779B1 & 0xFFFFFFFF) % s
-
-
-def _candidates(posts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of representatives that pass the multi-match and the bit map filter."""
-
-    def join(block: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Candidate pairs of whole groups; groups are (gkey, part) runs."""
-        g, part, side = block["gkey"], block["part"], block["side"]
-        new = np.r_[True, (g[1:] != g[:-1]) | (part[1:] != part[:-1])]
-        gid = np.cumsum(new) - 1
-        idx, prb = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        n_groups = gid[-1] + 1
-        i_cnt = np.bincount(gid[idx], minlength=n_groups)
-        i_start = np.r_[0, np.cumsum(i_cnt)[:-1]]
-        reach = i_cnt[gid[prb]]
-        outs_a, outs_b = [], []
-        P = np.stack([block["p0"], block["p1"]], 1).view(np.uint64)
-        W = np.stack([block["w0"], block["w1"], block["w2"], block["w3"]], 1).view(np.uint64)
-        n, extra, slack, rep = block["n"], block["extra"], block["slack"], block["rep"]
-        at = 0
-        cum = np.cumsum(reach)
-        while at < len(prb):
-            base = cum[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(cum, base + PAIRS, "right")))
-            r = reach[at:end]
-            tot = int(r.sum())
-            if tot:
-                x = np.repeat(prb[at:end], r)
-                off = np.arange(tot) - np.repeat(np.cumsum(r) - r, r)
-                y = idx[np.repeat(i_start[gid[prb[at:end]]], r) + off]
-                keep = (n[y] < n[x]) | ((n[y] == n[x]) & (rep[y] < rep[x]))
-                keep &= n[y] >= threshold * n[x] - 1e-9
-                x, y = x[keep], y[keep]
-                if len(x):
-                    shared = np.bitwise_count(P[x, 0] & P[y, 0]) + np.bitwise_count(P[x, 1] & P[y, 1])
-                    ok = shared + np.minimum(slack[x], slack[y]) >= np.minimum(extra[x], extra[y])
-                    x, y = x[ok], y[ok]
-                if len(x):
-                    apart = np.bitwise_count(W[x, 0] ^ W[y, 0]).astype(np.int32)
-                    for k in (1, 2, 3):
-                        apart += np.bitwise_count(W[x, k] ^ W[y, k])
-                    # |x ^ y| <= (1 - t) / (1 + t) (|x| + |y|); hashing only lowers the count
-                    ok = apart <= (1 - threshold) / (1 + threshold) * (n[x] + n[y]) + 1e-9
-                    outs_a.append(rep[y[ok]])
-                    outs_b.append(rep[x[ok]])
-            at = end
-        z = np.zeros(0, np.int64)
-        return (np.concatenate(outs_a), np.concatenate(outs_b)) if outs_a else (z, z)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = _COLUMNS
+    info = F.col("n").cast("bigint") * 65536 + F.least("skips", F.lit(32767)) * 2 + (F.col("skips") <= F.col("tight")).cast("int")
+    packed = posts.select("key", "depth", "rep", info.alias("info"), "w0", "w1")
+    hot = posts.where(F.col("depth") == depth).groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > block)
+    hot = cut_lineage(hot.select("key", F.ceil(F.col("c") / block).cast("int").alias("parts")))
+    dealt = packed.withColumns({"part": F.lit(0), "asks": F.lit(True), "answers": F.lit(True)})
+    if not hot.isEmpty():
+        # a set asks in the part of its own and answers in all parts
+        mine = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+        dealt = (
+            packed.join(_sent(hot), "key", "left")
+            .withColumns({"parts": F.coalesce("parts", F.lit(1)), "mine": F.coalesce(mine, F.lit(0))})
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .withColumns({"asks": F.col("part") == F.col("mine"), "answers": F.lit(True)})
+        )
+    dealt = dealt.select("key", "part", F.when(F.col("asks"), F.col("info")).otherwise(F.col("info").bitwiseAND(F.lit(~1))).alias("info"), "rep", "w0", "w1")
+
+    def pairs(v: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs within the groups of (key, part), whose rows stand together ordered by info."""
+        n, skips, tight = v["info"] >> 16, (v["info"] >> 1) & 32767, v["info"] & 1
+        gid = np.cumsum(np.r_[False, (v["key"][1:] != v["key"][:-1]) | (v["part"][1:] != v["part"][:-1])])
+        place = gid * (1 << 40) + n
+        end = np.searchsorted(place, gid * (1 << 40) + np.floor(n / threshold + 1e-6).astype(np.int64), "right")
+        asks = np.flatnonzero(tight == 1)
+        reach = end[asks] - asks - 1
+        asks, reach = asks[reach > 0], reach[reach > 0]
+        total = np.cumsum(reach)
+        w0, w1 = v["w0"].view(np.uint64), v["w1"].view(np.uint64)
+        out_a, out_b, at = [], [], 0
+        while at < len(asks):
+            base = total[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(total, base + PAIRS, "right")))
+            r = reach[at:to]
+            x = np.repeat(asks[at:to], r)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(r) - r, r)
+            both = n[x] + n[y]
+            # words that only one of two similar sets may hold; the two maps differ in at most so many bits
+            apart = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9).astype(np.int64)
+            ok = np.bitwise_count(w0[x] ^ w0[y]) <= apart
+            x, y, apart = x[ok], y[ok], apart[ok]
+            ok = (np.bitwise_count(w0[x] ^ w0[y]) + np.bitwise_count(w1[x] ^ w1[y]) <= apart) & (skips[x] + skips[y] <= apart)
+            out_a.append(v["rep"][x[ok]])
+            out_b.append(v["rep"][y[ok]])
+            at = to
+        none = np.zeros(0, np.int64)
+        return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
-        size = 0
 
-        def flush(last: bool):
-            nonlocal held, size
-            block = {c: np.concatenate([h[c] for h in held]) for c in names}
-            end = len(block["gkey"])
+        def flush(last: bool) -> pa.RecordBatch:
+            nonlocal held
+            v = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+            end = len(v["key"])
             if not last:
                 # the last group may go on in the next batch
-                g, p = block["gkey"][-1], block["part"][-1]
-                diff = np.flatnonzero((block["gkey"] != g) | (block["part"] != p))
-                end = int(diff[-1]) + 1 if len(diff) else 0
-            held = [{c: v[end:] for c, v in block.items()}] if not last else []
-            size = len(held[0]["gkey"]) if held else 0
-            if end:
-                a, b = join({c: v[:end] for c, v in block.items()})
-                lo, hi = np.minimum(a, b), np.maximum(a, b)
-                return pd.DataFrame({"a": lo, "b": hi}).drop_duplicates()
-            return None
-
-        for pdf in batches:
-            held.append({c: pdf[c].to_numpy() for c in names})
-            size += len(pdf)
-            if size >= POSTINGS and (out := flush(False)) is not None:
-                yield out
-        if held and size and (out := flush(True)) is not None:
-            yield out
-
-    sorted_posts = posts.repartition("gkey", "part").sortWithinPartitions("gkey", "part")
-    return sorted_posts.mapInPandas(run, "a bigint, b bigint").distinct()
-
-
-def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, ratio: float = RATIO) -> DataFrame:
-    """(a, b, similarity) of all pairs a < b of distinct word sets with Jaccard similarity of ``threshold`` or more; exact."""
-    n = sets.count()
-    counts = sets.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") > max(8, FREQUENT * n))
+                other = np.flatnonzero((v["key"] != v["key"][-1]) | (v["part"] != v["part"][-1]))
+                end = int(other[-1]) + 1 if len(other) else 0
+                held = [{c: x[end:] for c, x in v.items()}]
+            a, b = pairs({c: x[:end] for c, x in v.items()})
+            lo, hi = np.minimum(a, b), np.maximum(a, b)
+            return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append({c: batch.column(c).to_numpy() for c in batch.schema.names})
+                if sum(len(h["key"]) for h in held) >= POSTINGS:
+                    yield flush(False)
+        if held and len(held[0]["key"]):
+            yield flush(True)
+
+    met = dealt.repartition("key", "part").sortWithinPartitions("key", "part", F.shiftright("info", 16), "rep").mapInArrow(run, "a bigint, b bigint")
+    return met.distinct()
+
+
+def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, cost: int | None = None, depth: int | None = None) -> DataFrame:
+    """(a, b, similarity) of all pairs a < b of distinct word sets with Jaccard similarity of ``threshold`` or more; exact.
+
+    ``sets`` must not be computed anew for every use; it is read several times.
+    """
+    cost, depth = cost or COST, depth or DEPTH
+    counts = sets.select(F.explode("words").alias("w")).groupBy(F.xxhash64("w").alias("key")).agg(F.count("*").alias("c"))
+    counts = cut_lineage(counts.where(F.col("c") > min(cost, 8)))
     # at most mean set size / FREQUENT words
-    frequent = {r[0]: r[1] for r in counts.collect()}
-    pairs = _candidates(_postings(sets, frequent, threshold, ratio), threshold)
-    a = sets.select(F.col("rep").alias("a"), F.col("words").alias("wa"))
-    b = sets.select(F.col("rep").alias("b"), F.col("words").alias("wb"))
-    both = F.size(F.array_intersect("wa", "wb"))
-    sim = both / (F.size("wa") + F.size("wb") - both)
+    frequent = {r[0]: r[1] for r in counts.where(F.col("c") > F.greatest(F.lit(8.0), F.lit(FREQUENT) * sets.count())).collect()}
+    tokens = cut_lineage(_ordered(sets, frequent, threshold))
+    posts = _postings(tokens, counts.where(F.col("c") > cost).select("key"), cost, depth)
+    pairs = _candidates(posts, threshold, depth, BLOCK)
+    a = tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
+    b = tokens.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"))
+    both = F.size(F.array_intersect("ta", "tb"))
+    sim = both / (F.size("ta") + F.size("tb") - both)
     return pairs.join(a, "a").join(b, "b").select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
 
 

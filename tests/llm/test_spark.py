@@ -25,9 +25,10 @@ def brute_pairs(rows, t=0.7):
     return {(a, b) for i, a in enumerate(ks) for b in ks[i + 1 :] if sets[a] | sets[b] and len(sets[a] & sets[b]) >= t * len(sets[a] | sets[b]) - 1e-12}
 
 
-@pytest.mark.parametrize("block", [2000, 3])
-def test_near_duplicates_against_brute_force(spark, block, monkeypatch):
-    monkeypatch.setattr(neardup, "BLOCK", block)
+@pytest.mark.parametrize("block, cost, depth, sent", [(2000, 5000, 4, 1000), (3, 2, 4, 0), (3, 3, 2, 1000), (2000, 1, 6, 1000)])
+def test_near_duplicates_against_brute_force(spark, block, cost, depth, sent, monkeypatch):
+    for k, v in {"BLOCK": block, "COST": cost, "DEPTH": depth, "SENT": sent, "PAIRS": 500, "POSTINGS": 50}.items():
+        monkeypatch.setattr(neardup, k, v)
     monkeypatch.setattr(neardup, "FREQUENT", 0.01)
     rng = random.Random(4)
     vocab = [f"t{i}" for i in range(60)] + ["the", "of", "a"] * 8
