@@ -37,6 +37,8 @@ DEPTH = 4
 BLOCK = 2000
 #: pairs of a step of the filter, and postings held before whole groups are joined; memory bounds
 PAIRS, POSTINGS = 200_000, 20_000
+#: a set with more partners is compared with them in a step of its own
+RUN = 200
 #: keys of costly words sent to every executor; more are joined by a shuffle. 16 bytes each
 SENT = 1_000_000
 
@@ -48,19 +50,22 @@ def word_set(*cols: str):
 
 
 def classes(records: DataFrame, key: str, cols: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """(membership: key, rep, first; sets: rep, words). Sets without a word belong to no class.
+    """(membership: key, rep, first; sets: rep, tokens). Sets without a word belong to no class.
 
     A class is all records of one word set, whatever their texts; ``first`` is the
     least key of the records of the class whose columns are equal, null as empty.
+    Words are hashed to 64 bits, sets and texts are told apart by 128 bits.
     """
-    text = F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c), F.lit("")) for c in cols)), 256)
-    rows = records.select(F.col(key).alias("key"), word_set(*cols).alias("words"), text.alias("text")).where(F.size("words") > 0)
-    rows = rows.withColumn("sig", F.sha2(F.concat_ws(" ", "words"), 256))
-    sets = rows.groupBy("sig").agg(F.min("key").alias("rep"), F.first("words").alias("words"))
-    keyed = rows.groupBy("key", "sig").agg(F.min("text").alias("text"))
+    twice = lambda *c: F.struct(F.xxhash64(*c).alias("x"), F.xxhash64(F.lit(1), *c).alias("y"))
+    texts = [F.coalesce(F.col(c), F.lit("")) for c in cols]
+    rows = records.select(F.col(key).alias("key"), word_set(*cols).alias("words"), twice(*texts).alias("text")).where(F.size("words") > 0)
+    rows = rows.withColumn("sig", twice("words"))
+    sets = rows.groupBy("sig").agg(F.min("key").alias("rep"), F.first(F.transform("words", lambda w: F.xxhash64(w))).alias("tokens")).select("rep", "tokens")
+    keyed = cut_lineage(rows.groupBy("key", "sig").agg(F.min("text").alias("text")))
+    reps = keyed.groupBy("sig").agg(F.min("key").alias("rep"))
     copies = keyed.groupBy("sig", "text").agg(F.min("key").alias("first"))
-    members = keyed.join(copies, ["sig", "text"]).join(sets.select("sig", "rep"), "sig").select("key", "rep", "first")
-    return members, sets.select("rep", "words")
+    members = keyed.join(copies, ["sig", "text"]).join(reps, "sig").select("key", "rep", "first")
+    return members, sets
 
 
 def _ordered(sets: DataFrame, frequent: dict[int, int], threshold: float) -> DataFrame:
@@ -74,7 +79,7 @@ def _ordered(sets: DataFrame, frequent: dict[int, int], threshold: float) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            col = batch.column("h")
+            col = batch.column("tokens")
             n = np.diff(col.offsets.to_numpy())
             h = col.flatten().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(len(n)), n)
@@ -95,8 +100,7 @@ def _ordered(sets: DataFrame, frequent: dict[int, int], threshold: float) -> Dat
             cols = [batch.column("rep"), *(pa.array(x.astype(np.int32)) for x in (n, slip, tight)), tokens, *map(pa.array, maps)]
             yield pa.RecordBatch.from_arrays(cols, ["rep", "n", "slip", "tight", "tokens", "w0", "w1"])
 
-    hashed = sets.select("rep", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    return spread(hashed).mapInArrow(run, "rep bigint, n int, slip int, tight int, tokens array<bigint>, w0 bigint, w1 bigint")
+    return spread(sets.select("rep", "tokens")).mapInArrow(run, "rep bigint, n int, slip int, tight int, tokens array<bigint>, w0 bigint, w1 bigint")
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -104,21 +108,23 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SENT else df
 
 
-def _postings(tokens: DataFrame, costly: DataFrame, cost: int, depth: int) -> DataFrame:
-    """(rep, n, tight, w0, w1, key, depth, skips) of all records; ``costly`` holds the keys of costly single words.
+def _postings(tokens: DataFrame, costly: DataFrame, cost: int, depth: int) -> tuple[DataFrame, bool]:
+    """((rep, n, tight, w0, w1, key, depth, skips) of all records, whether the greatest depth is reached).
+
+    ``costly`` holds the keys of words of many records.
 
     ``skips`` is the number of words before the last one of the key that are no part of it.
     """
     level = tokens.select("*", F.posexplode(F.slice("tokens", F.lit(1), F.col("slip") + 1)).alias("pos", "key")).withColumn("depth", F.lit(1))
-    for d in range(1, depth + 1):
-        if d == depth:
-            break
+    deepest = depth == 1
+    for d in range(1, depth):
         here = level.where(F.col("depth") == d)
         # words that few records hold at all need no count of their postings
         here = here.join(_sent(costly), "key", "left_semi") if d == 1 else here
         costly = cut_lineage(here.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > cost).select("key"))
         if costly.isEmpty():
             break
+        deepest = d + 1 == depth
         mark = _sent(costly.select("key", F.lit(d).alias("depth"), F.lit(True).alias("costly")))
         # a further shared word stands at most slip + d words from the start; a set that may be similar by d words alone also stays
         last = F.least(F.col("slip") + d, F.col("n") - 1)
@@ -136,10 +142,10 @@ def _postings(tokens: DataFrame, costly: DataFrame, cost: int, depth: int) -> Da
             )
             .drop("costly", "next")
         )
-    return level.select("rep", "n", "tight", "w0", "w1", "key", "depth", (F.col("pos") - F.col("depth") + 1).alias("skips"))
+    return level.select("rep", "n", "tight", "w0", "w1", "key", "depth", (F.col("pos") - F.col("depth") + 1).alias("skips")), deepest
 
 
-def _candidates(posts: DataFrame, threshold: float, depth: int, block: int) -> DataFrame:
+def _candidates(posts: DataFrame, threshold: float, block: int, deepest: int | None) -> DataFrame:
     """(a, b) of representatives that meet on a key and may be similar by their lengths, skipped words and bit maps.
 
     The postings of a key stand together, smaller sets first, so the partners of a
@@ -148,17 +154,19 @@ def _candidates(posts: DataFrame, threshold: float, depth: int, block: int) -> D
     """
     info = F.col("n").cast("bigint") * 65536 + F.least("skips", F.lit(32767)) * 2 + (F.col("skips") <= F.col("tight")).cast("int")
     packed = posts.select("key", "depth", "rep", info.alias("info"), "w0", "w1")
-    hot = posts.where(F.col("depth") == depth).groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > block)
-    hot = cut_lineage(hot.select("key", F.ceil(F.col("c") / block).cast("int").alias("parts")))
-    dealt = packed.withColumns({"part": F.lit(0), "asks": F.lit(True), "answers": F.lit(True)})
-    if not hot.isEmpty():
+    dealt = packed.withColumns({"part": F.lit(0), "asks": F.lit(True)})
+    hot = None
+    if deepest:
+        hot = posts.where(F.col("depth") == deepest).groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > block)
+        hot = cut_lineage(hot.select("key", F.ceil(F.col("c") / block).cast("int").alias("parts")))
+    if hot is not None and not hot.isEmpty():
         # a set asks in the part of its own and answers in all parts
         mine = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
         dealt = (
             packed.join(_sent(hot), "key", "left")
             .withColumns({"parts": F.coalesce("parts", F.lit(1)), "mine": F.coalesce(mine, F.lit(0))})
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .withColumns({"asks": F.col("part") == F.col("mine"), "answers": F.lit(True)})
+            .withColumn("asks", F.col("part") == F.col("mine"))
         )
     dealt = dealt.select("key", "part", F.when(F.col("asks"), F.col("info")).otherwise(F.col("info").bitwiseAND(F.lit(~1))).alias("info"), "rep", "w0", "w1")
 
@@ -171,21 +179,30 @@ def _candidates(posts: DataFrame, threshold: float, depth: int, block: int) -> D
         asks = np.flatnonzero(tight == 1)
         reach = end[asks] - asks - 1
         asks, reach = asks[reach > 0], reach[reach > 0]
-        total = np.cumsum(reach)
         w0, w1 = v["w0"].view(np.uint64), v["w1"].view(np.uint64)
-        out_a, out_b, at = [], [], 0
+        both = np.arange(2 * int(n.max()) + 1)
+        # words that only one of two similar sets may hold, by the sum of their sizes; the two maps differ in at most so many bits
+        apart = (both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9)).astype(np.int64)
+        out_a, out_b = [], []
+        many = reach > RUN
+        for i, to in zip(asks[many].tolist(), end[asks[many]].tolist()):
+            most = apart[n[i] + n[i + 1 : to]]
+            y = np.flatnonzero(np.bitwise_count(w0[i + 1 : to] ^ w0[i]) <= most)
+            y, most = y + (i + 1), most[y]
+            y = y[(np.bitwise_count(w0[y] ^ w0[i]) + np.bitwise_count(w1[y] ^ w1[i]) <= most) & (skips[y] + skips[i] <= most)]
+            if len(y):
+                out_a.append(np.full(len(y), v["rep"][i]))
+                out_b.append(v["rep"][y])
+        asks, reach = asks[~many], reach[~many]
+        total, at = np.cumsum(reach), 0
         while at < len(asks):
             base = total[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(total, base + PAIRS, "right")))
             r = reach[at:to]
             x = np.repeat(asks[at:to], r)
             y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(r) - r, r)
-            both = n[x] + n[y]
-            # words that only one of two similar sets may hold; the two maps differ in at most so many bits
-            apart = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9).astype(np.int64)
-            ok = np.bitwise_count(w0[x] ^ w0[y]) <= apart
-            x, y, apart = x[ok], y[ok], apart[ok]
-            ok = (np.bitwise_count(w0[x] ^ w0[y]) + np.bitwise_count(w1[x] ^ w1[y]) <= apart) & (skips[x] + skips[y] <= apart)
+            most = apart[n[x] + n[y]]
+            ok = (np.bitwise_count(w0[x] ^ w0[y]) + np.bitwise_count(w1[x] ^ w1[y]) <= most) & (skips[x] + skips[y] <= most)
             out_a.append(v["rep"][x[ok]])
             out_b.append(v["rep"][y[ok]])
             at = to
@@ -226,13 +243,13 @@ def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, cost: int | None
     ``sets`` must not be computed anew for every use; it is read several times.
     """
     cost, depth = cost or COST, depth or DEPTH
-    counts = sets.select(F.explode("words").alias("w")).groupBy(F.xxhash64("w").alias("key")).agg(F.count("*").alias("c"))
+    counts = sets.select(F.explode("tokens").alias("key")).groupBy("key").agg(F.count("*").alias("c"))
     counts = cut_lineage(counts.where(F.col("c") > min(cost, 8)))
     # at most mean set size / FREQUENT words
     frequent = {r[0]: r[1] for r in counts.where(F.col("c") > F.greatest(F.lit(8.0), F.lit(FREQUENT) * sets.count())).collect()}
     tokens = cut_lineage(_ordered(sets, frequent, threshold))
-    posts = _postings(tokens, counts.where(F.col("c") > cost).select("key"), cost, depth)
-    pairs = _candidates(posts, threshold, depth, BLOCK)
+    posts, deepest = _postings(tokens, counts.where(F.col("c") > cost).select("key"), cost, depth)
+    pairs = _candidates(posts, threshold, BLOCK, depth if deepest else None)
     a = tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
     b = tokens.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))

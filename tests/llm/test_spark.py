@@ -27,7 +27,7 @@ def brute_pairs(rows, t=0.7):
 
 @pytest.mark.parametrize("block, cost, depth, sent", [(2000, 5000, 4, 1000), (3, 2, 4, 0), (3, 3, 2, 1000), (2000, 1, 6, 1000)])
 def test_near_duplicates_against_brute_force(spark, block, cost, depth, sent, monkeypatch):
-    for k, v in {"BLOCK": block, "COST": cost, "DEPTH": depth, "SENT": sent, "PAIRS": 500, "POSTINGS": 50}.items():
+    for k, v in {"BLOCK": block, "COST": cost, "DEPTH": depth, "SENT": sent, "PAIRS": 500, "POSTINGS": 50, "RUN": 4}.items():
         monkeypatch.setattr(neardup, k, v)
     monkeypatch.setattr(neardup, "FREQUENT", 0.01)
     rng = random.Random(4)
