@@ -5,30 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.operators.resolve import small
-from graphloom.runtime import cut_lineage
+from graphloom.runtime import cut_lineage, lookup, small
 
 
 def theta_pairs(left: DataFrame, right: DataFrame, condition: Column, blocks: list[Column] | None = None) -> DataFrame:
-    """Pairs of two small vertex sets under an arbitrary condition.
+    """Pairs of two vertex sets under an arbitrary condition.
 
-    Meant for filtered vertex sets: without an equality the pairs are a product by
-    definition. ``blocks`` adds equalities, which turn it into a hash join.
+    ``blocks`` adds equalities, which make it an equi-join at any size. Without an
+    equality the pairs are a product by definition: the right side must then be
+    counted to be small enough for a broadcast, else it is an error.
     """
-    for b in blocks or []:
-        condition = condition & b
-    return left.join(small(right), condition)
+    if blocks:
+        for b in blocks:
+            condition = condition & b
+        return left.join(right, condition)
+    right = cut_lineage(right)
+    if not small(right):
+        raise ValueError("pairs without an equality need a small right side")
+    return left.join(F.broadcast(right), condition)
 
 
 def pattern_hop(nodes: DataFrame, edges: DataFrame, targets: DataFrame, start: Column, edge_types: tuple[str, ...], end: Column | None = None) -> DataFrame:
     """(node)-[edge]->(target): filtered start nodes, edges of the given types, target nodes.
 
-    ``nodes`` and ``targets`` have id, label and name; filters run before the joins.
+    ``nodes`` and ``targets`` have id (unique), label and name; filters run before the joins.
     """
     n = nodes.where(start).select(F.col("id").alias("source_id"), F.col("name").alias("source_name"))
     e = edges.where(F.col("relationship_type").isin(*edge_types)).select("source_id", "target_id", "relationship_type")
     t = (targets.where(end) if end is not None else targets).select(F.col("id").alias("target_id"), F.col("name").alias("target_name"))
-    return e.join(small(n), "source_id").join(t, "target_id").select("source_id", "source_name", "relationship_type", "target_id", "target_name")
+    return lookup(lookup(e, cut_lineage(n), ["source_id"], "inner"), cut_lineage(t), ["target_id"], "inner").select("source_id", "source_name", "relationship_type", "target_id", "target_name")
 
 
 def trails(edges: DataFrame, start: DataFrame, edge_types: tuple[str, ...] | None = None, max_hops: int = 10) -> DataFrame:
@@ -36,7 +41,7 @@ def trails(edges: DataFrame, start: DataFrame, edge_types: tuple[str, ...] | Non
 
     A trail uses no edge twice, so cycles end. ``edges``: edge_id, source_id,
     target_id, relationship_type; ``start``: id. Each hop is one equi-join on the
-    frontier; the lineage is cut every few hops.
+    frontier, which is materialised, so no hop is computed twice.
     """
     e = edges.where(F.col("relationship_type").isin(*edge_types)) if edge_types else edges
     e = e.select("edge_id", F.col("source_id").alias("at"), F.col("target_id").alias("to"))
@@ -48,12 +53,11 @@ def trails(edges: DataFrame, start: DataFrame, edge_types: tuple[str, ...] | Non
             .where(~F.array_contains("used", F.col("edge_id").cast("string")))
             .select("start", F.col("to").alias("at"), F.array_append("used", F.col("edge_id").cast("string")).alias("used"), F.array_append("path", F.col("to").cast("string")).alias("path"))
         )
-        if hop % 4 == 0:
-            front = cut_lineage(front)
-            if front.isEmpty():
-                break
+        front = cut_lineage(front)
         step = front.select("start", F.col("at").alias("end"), F.lit(hop).alias("hops"), F.array_join("path", ">").alias("path"))
         out = step if out is None else out.unionByName(step)
+        if front.isEmpty():
+            break
     return out
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import context_window, keyword_ladder
+from graphloom.runtime import cut_lineage
 
 #: fixed values: mention patterns and the group that holds the mention
 MENTION_PATTERNS = {
@@ -87,34 +91,79 @@ def examples(rows: DataFrame, order: list[str], n: int = 10) -> DataFrame:
     return rows.orderBy(*order).limit(n)
 
 
+#: hash buckets of a vocabulary that is looked up inside a row
+LOOKUP_BUCKETS = 64
+
+
+def _looked_up(values: list[tuple[str, float, int]], term) -> Column:
+    """The value of a term of (term, value, bucket), else null; in buckets, as a constant map is searched in order."""
+    parts: list[list] = [[] for _ in range(LOOKUP_BUCKETS)]
+    for t, v, at in values:
+        parts[at] += [F.lit(t), F.lit(v)]
+    table = F.array(*(F.create_map(*p) if p else F.create_map().cast("map<string,double>") for p in parts))
+    return F.try_element_at(F.get(table, F.pmod(F.xxhash64(term), F.lit(LOOKUP_BUCKETS)).cast("int")), term)
+
+
 def key_phrases(docs: DataFrame, n: int = 20, stop_words: tuple[str, ...] = (), max_words: int = 3, min_df: int = 2, max_df: float = 0.7, vocabulary: int = 1000, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(term, weight): top phrases of 1 to 3 words by mean L2-normalised smooth TF-IDF.
 
     Tokens are lower-case word characters of length two or more without stop
     words. Terms outside [min_df, max_df x documents] are left out; of the rest
     the ``vocabulary`` most frequent count (ties by term). Null texts count as
-    documents without terms. Only counts per (document, term) are shuffled; the
-    vocabulary is bounded by its parameter.
+    documents without terms.
+
+    A phrase is at most as frequent as each of its words, so only phrases of words
+    that reach the last place of the single words are counted; the counts are
+    combined map-side. Term counts and norms of a document stay in its row. The
+    driver holds the vocabulary, which is bounded by its parameter.
     """
+    spark = docs.sparkSession
     token = F.filter(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)), lambda w: ~w.isin(*stop_words) if stop_words else F.lit(True))
-    toks = docs.select(F.col(key).alias("d"), F.coalesce(token, F.array().cast("array<string>")).alias("t"))
-
-    def gram(k: int):
-        return F.transform(F.sequence(F.lit(1), F.size("t") - k + 1), lambda i: F.array_join(F.slice("t", i, F.lit(k)), " "))
-
-    grams = [gram(k) for k in range(1, max_words + 1)]
-    guarded = [F.when(F.size("t") >= k, g).otherwise(F.array().cast("array<string>")) for k, g in enumerate(grams, 1)]
-    tf = toks.select("d", F.explode(F.concat(*guarded)).alias("term")).groupBy("d", "term").agg(F.count("*").alias("tf"))
-    size = docs.agg(F.count("*").alias("n_docs"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("freq"))
-    vocab = (
-        df.join(F.broadcast(size))
-        .where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("n_docs")))
-        .orderBy(F.desc("freq"), "term")
-        .limit(vocabulary)
-        .select("term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"), "n_docs")
-    )
-    w = tf.join(F.broadcast(vocab), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy("d").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    score = w.join(norm, "d").groupBy("term", "n_docs").agg((F.sum(F.col("w") / F.col("norm"))).alias("s"))
-    return score.select("term", (F.col("s") / F.col("n_docs")).alias("weight")).orderBy(F.desc(F.round("weight", 12)), "term").limit(n)
+    toks = docs.select(F.coalesce(token, F.array().cast("array<string>")).alias("t"))
+    n_docs = docs.count()
+    none = F.array().cast("array<string>")
+
+    def grams(k: int) -> Column:
+        places = F.when(F.size("t") >= k, F.sequence(F.lit(1), F.size("t") - k + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.array_join(F.slice("t", i, F.lit(k)), " "))
+
+    def counted(terms: DataFrame) -> DataFrame:
+        """(term, freq, df) of rows with an array ``g``."""
+        tag = lambda c, f, d: F.transform(c, lambda x: F.struct(x.alias("term"), F.lit(f).alias("f"), F.lit(d).alias("d")))
+        # outer, as the filter that is inferred for a plain explode would copy the making of ``g`` into each of its uses
+        rows = terms.select(F.explode_outer(F.concat(tag(F.col("g"), 1, 0), tag(F.array_distinct("g"), 0, 1))).alias("x"))
+        return rows.where("x.term IS NOT NULL").groupBy("x.term").agg(F.sum("x.f").alias("freq"), F.sum("x.d").alias("df"))
+
+    def kept(counts: DataFrame) -> DataFrame:
+        return counts.where((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs)).orderBy(F.desc("freq"), "term").limit(vocabulary)
+
+    singles = cut_lineage(counted(toks.select(F.col("t").alias("g"))))
+    best = kept(singles)
+    last = best.agg(F.min("freq"), F.count("*")).first()
+    least = last[0] if last[1] == vocabulary else min_df
+    # words that a phrase of the vocabulary may hold
+    able = singles.where(F.col("freq") >= least).select("term")
+    found = [r[0] for r in able.limit(5 * vocabulary + 1).collect()]
+    # when no word stands out, all phrases are counted
+    ok = F.transform("t", lambda w: w.isin(*found)) if 0 < len(found) <= 5 * vocabulary else F.transform("t", lambda w: F.lit(True))
+    marked = toks.withColumn("ok", ok)
+
+    def able_grams(k: int) -> Column:
+        places = F.when(F.size("t") >= k, F.sequence(F.lit(1), F.size("t") - k + 1)).otherwise(F.array().cast("array<int>"))
+        full = F.filter(places, lambda i: F.forall(F.slice("ok", i, F.lit(k)), lambda x: x))
+        return F.transform(full, lambda i: F.array_join(F.slice("t", i, F.lit(k)), " "))
+
+    phrases = F.concat(*(able_grams(k) for k in range(2, max_words + 1))) if max_words > 1 else none
+    counts = best if max_words < 2 else best.unionByName(kept(counted(marked.select(phrases.alias("g")))))
+    vocab = kept(counts).select("term", "df", F.pmod(F.xxhash64("term"), F.lit(LOOKUP_BUCKETS)).alias("at")).collect()
+    idf = [(r[0], math.log((1 + n_docs) / (1 + r[1])) + 1, r[2]) for r in vocab]
+    known = [x[0] for x in idf] or [""]
+    terms = F.array_sort(F.filter(F.concat(*(grams(k) for k in range(1, max_words + 1))), lambda g: g.isin(*known)))
+    # equal terms stand together: a run's length is the term's count
+    runs = toks.select(terms.alias("v"))
+    first = F.filter(F.when(F.size("v") > 0, F.sequence(F.lit(0), F.size("v") - 1)).otherwise(F.array().cast("array<int>")), lambda i: (i == 0) | (F.get("v", i) != F.get("v", i - 1)))
+    runs = runs.select("v", F.concat(first, F.array(F.size("v"))).alias("at"))
+    tf = F.transform(F.slice("at", F.lit(1), F.size("at") - 1), lambda p, k: F.struct(F.get("v", p).alias("term"), ((F.get("at", k + 1) - p) * _looked_up(idf, F.get("v", p))).alias("w")))
+    rows = runs.select(tf.alias("x")).withColumn("norm", F.sqrt(F.aggregate("x", F.lit(0.0), lambda acc, y: acc + y["w"] * y["w"])))
+    score = rows.select(F.explode_outer("x").alias("x"), "norm").where("x.term IS NOT NULL").groupBy("x.term").agg(F.sum(F.col("x.w") / F.col("norm")).alias("s"))
+    return score.select("term", (F.col("s") / F.lit(n_docs)).alias("weight")).orderBy(F.desc(F.round("weight", 12)), "term").limit(n)

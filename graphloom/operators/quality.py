@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import capitalize, high_severity, percent, priority_score, stable_id
-from graphloom.operators.resolve import small
+from graphloom.runtime import cut_lineage, lookup
 
 #: fixed values: quality levels and score columns
 LEVELS = ("excellent", "good", "fair", "poor")
@@ -21,10 +21,10 @@ def without_auto_created(entities: DataFrame, flag: str = "auto_created_from_rel
 
 def edge_context(edges: DataFrame, entities: DataFrame) -> DataFrame:
     """Edges with both ends' names (left join on id), as evaluation context."""
-    e = small(entities.select("id", "name"))
-    return edges.join(e.select(F.col("id").alias("source_id"), F.col("name").alias("source_name")), "source_id", "left").join(
-        e.select(F.col("id").alias("target_id"), F.col("name").alias("target_name")), "target_id", "left"
-    )
+    e = cut_lineage(entities.select("id", "name"))
+    s = e.select(F.col("id").alias("source_id"), F.col("name").alias("source_name"))
+    t = e.select(F.col("id").alias("target_id"), F.col("name").alias("target_name"))
+    return lookup(lookup(edges, s, ["source_id"]), t, ["target_id"])
 
 
 def supporting_chunk(items: DataFrame, chunks: DataFrame, ref: str = "source_chunk") -> DataFrame:

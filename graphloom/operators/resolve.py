@@ -7,14 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import KEYWORD_BONUS, MATCH_THRESHOLD, name_similarity, normalize_name, stable_id, strip, words, year_in
+from graphloom.runtime import cut_lineage, lookup
 
-#: rows up to which the entities of a join are broadcast; larger sides are shuffled
-BROADCAST_ROWS = 100_000
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame with a broadcast hint when a count shows that it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def entity_key(kind: Column, name: Column, title: Column, year: Column) -> Column:
@@ -98,11 +92,11 @@ def name_keys(entities: DataFrame, kind: str, ident: str, name: str, order: str)
 
 def exact_lookup(mentions: DataFrame, keys: DataFrame, kind: str = "kind", name: str = "mention") -> DataFrame:
     """Mentions with the id found under their lower-cased or else their normalised name, null when neither is known."""
-    k = small(keys)
+    k = cut_lineage(keys)
     low = k.select(F.col("kind").alias(kind), F.col("name_key").alias("_low"), F.col("id").alias("_id_low"))
     norm = k.select(F.col("kind").alias(kind), F.col("name_key").alias("_norm"), F.col("id").alias("_id_norm"))
     m = mentions.withColumn("_low", F.lower(F.col(name))).withColumn("_norm", normalize_name(name))
-    out = m.join(low, [kind, "_low"], "left").join(norm, [kind, "_norm"], "left")
+    out = lookup(lookup(m, low, [kind, "_low"]), norm, [kind, "_norm"])
     return out.select(*mentions.columns, F.coalesce("_id_low", "_id_norm").alias("entity_id"))
 
 
@@ -113,58 +107,58 @@ def fuzzy_best_match(mentions: DataFrame, entities: DataFrame, kind: str = "kind
     nested loop: a pair can only pass when
 
     * one name contains the other, so the longer holds every trigram of the
-      shorter: each name probes with its single rarest trigram (names of one or two
-      characters with themselves) against all grams of the other side, or
+      shorter: each name probes with its single rarest trigram against the trigrams
+      of all names (names of one or two letters with themselves), or
     * enough words are shared, so one of the rarest words of each is shared (prefix
       filter at the threshold less the keyword bonus).
+
+    Names of both sides stand in one table, whose keys are spread and counted once.
     """
-    m = mentions.select(F.col(kind).alias("kind"), F.col(name).alias("m")).distinct().withColumn("mn", normalize_name("m")).where("mn <> ''")
-    e = entities.select("kind", "entity_name", "id", "ord").withColumn("en", normalize_name("entity_name")).where("en <> ''")
-    # distinct normalised names only: equal names meet once
-    dm, de = m.select("kind", F.col("mn").alias("n")).distinct(), e.select("kind", F.col("en").alias("n")).distinct()
-
-    def keyed(df: DataFrame, keys: Column) -> DataFrame:
-        return df.select("kind", "n", F.explode(F.array_distinct(keys)).alias("g"))
-
-    def substrings(k: int) -> Column:
-        return F.when(
-            F.char_length("n") >= k, F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("n") - (k - 1), F.lit(1))), lambda i: F.substring(F.col("n"), i, F.lit(k)))
-        ).otherwise(F.array().cast("array<string>"))
-
-    def rarest(keys: DataFrame, index: DataFrame) -> DataFrame:
-        """(kind, n, g): each name's key that is rarest on the other side; a name with a key unknown there is inside none."""
-        freq = index.groupBy("kind", "g").agg(F.count("*").alias("f"))
-        ranked = keys.join(freq, ["kind", "g"], "left").groupBy("kind", "n").agg(F.min(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "g")).alias("x"))
-        return ranked.where("x.f > 0").select("kind", "n", F.col("x.g").alias("g"))
-
-    def meet(probe: DataFrame, index: DataFrame, probe_is_mention: bool) -> DataFrame:
-        p, i = ("mn", "en") if probe_is_mention else ("en", "mn")
-        return probe.select("kind", "g", F.col("n").alias(p)).join(index.select("kind", "g", F.col("n").alias(i)), ["kind", "g"]).select("kind", "mn", "en")
-
-    grams = F.concat(substrings(1), substrings(2), substrings(3))
-    tri = F.when(F.char_length("n") < 3, F.array(F.col("n"))).otherwise(substrings(3))
-    all_m, all_e = keyed(dm, grams), keyed(de, grams)
-    short_in_long = meet(rarest(keyed(dm, tri), all_e), all_e, True).where(F.col("en").contains(F.col("mn")))
-    long_in_short = meet(rarest(keyed(de, tri), all_m), all_m, False).where(F.col("mn").contains(F.col("en")))
+    m = mentions.select(F.col(kind).alias("kind"), F.col(name).alias("m")).distinct().withColumn("n", normalize_name("m")).where("n <> ''")
+    e = entities.select("kind", "entity_name", "id", "ord").withColumn("n", normalize_name("entity_name")).where("n <> ''")
+    first = e.groupBy("kind", "n").agg(F.min(F.struct("ord", "id")).alias("first"))
+    m, first = cut_lineage(m), cut_lineage(first)
+    # one table of distinct normalised names with the sides they occur on
+    sides = m.select("kind", "n", F.lit(True).alias("m"), F.lit(False).alias("e")).unionByName(first.select("kind", "n", F.lit(False).alias("m"), F.lit(True).alias("e")))
+    names = cut_lineage(sides.groupBy("kind", "n").agg(F.max("m").alias("m"), F.max("e").alias("e")))
+
+    def grams(k: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.char_length("n") - (k - 1)), lambda i: F.substring(F.col("n"), i, F.lit(k)))
+
+    def keyed(keys: Column, df: DataFrame = names) -> DataFrame:
+        """(kind, g, n, m, e, f): names by key with the number of names that hold the key."""
+        rows = df.select("kind", "n", "m", "e", F.explode(F.array_distinct(keys)).alias("g"))
+        return rows.join(rows.groupBy("kind", "g").agg(F.count("*").alias("f")), ["kind", "g"])
+
+    def meet(x: DataFrame, y: DataFrame, inside: bool) -> DataFrame:
+        """(kind, mn, en) of mentions and entities that share a key; with ``inside`` only where x is part of y."""
+        a = x.select("kind", "g", F.col("n").alias("xn"), F.col("m").alias("xm"), F.col("e").alias("xe"))
+        b = y.select("kind", "g", F.col("n").alias("yn"), F.col("m").alias("ym"), F.col("e").alias("ye"))
+        got = a.join(b, ["kind", "g"]).where((F.col("xm") & F.col("ye")) | (F.col("xe") & F.col("ym")))
+        got = got.where(F.col("yn").contains(F.col("xn"))) if inside else got
+        pair = lambda p, q: F.struct(F.col(p).alias("mn"), F.col(q).alias("en"))
+        both = F.array(F.when(F.col("xm") & F.col("ye"), pair("xn", "yn")), F.when(F.col("xe") & F.col("ym"), pair("yn", "xn")))
+        return got.select("kind", F.explode(F.array_compact(both)).alias("p")).select("kind", "p.mn", "p.en")
+
+    tri = keyed(grams(3), names.where(F.char_length("n") > 2))
+    rare = tri.groupBy("kind", "n", "m", "e").agg(F.min(F.struct("f", "g")).alias("x")).select("kind", "n", "m", "e", "x.g")
+    found = meet(rare, tri, True)
+    # names of one or two letters: only the grams that are such names are kept
+    short = cut_lineage(names.where(F.char_length("n") < 3).withColumn("g", F.col("n")))
+    if not short.isEmpty():
+        one = F.when(F.char_length("n") > 1, F.concat(grams(1), grams(2))).otherwise(F.array("n"))
+        held = names.select("kind", "n", "m", "e", F.explode(F.array_distinct(one)).alias("g")).join(short.select("kind", "g").distinct(), ["kind", "g"], "left_semi")
+        found = found.unionByName(meet(short, held, True))
     least = max(threshold - KEYWORD_BONUS, 0.0)
     # more than ``least`` of the larger set must be shared
     need = F.floor(F.lit(least) * F.size("gs") + 1e-9) + 1
     prefix = F.greatest(F.size("gs") - need + 1, F.lit(1)).cast("int")
-    wm, we = keyed(dm, words("n")), keyed(de, words("n"))
-    both = wm.unionByName(we)
-    pm, pe = _prefix(wm, both, prefix), _prefix(we, both, prefix)
-    pairs = short_in_long.unionByName(long_in_short).unionByName(meet(pm, pe, True)).distinct()
+    ranked = keyed(words("n")).groupBy("kind", "n", "m", "e").agg(F.array_sort(F.collect_list(F.struct("f", "g"))).alias("gs"))
+    lead = ranked.select("kind", "n", "m", "e", F.explode(F.slice("gs", F.lit(1), prefix)).alias("x")).select("kind", "n", "m", "e", "x.g")
+    pairs = found.unionByName(meet(lead, lead, False)).distinct()
     scored = pairs.withColumn("score", name_similarity("mn", "en", by_word)).where(F.col("score") > threshold)
-    first = e.groupBy("kind", "en").agg(F.min(F.struct("ord", "id")).alias("f"))
-    best = scored.join(first, ["kind", "en"]).groupBy("kind", "mn").agg(F.min(F.struct((-F.col("score")).alias("neg"), "f.ord", "f.id")).alias("b"))
-    return m.join(best, ["kind", "mn"]).select("kind", F.col("m").alias(name), F.col("b.id").alias("entity_id"), (-F.col("b.neg")).alias("score"))
-
-
-def _prefix(keys: DataFrame, corpus: DataFrame, take: Column) -> DataFrame:
-    """(kind, n, g): the ``take`` rarest words of each name, ordered by their frequency over both sides, then by word."""
-    freq = corpus.groupBy("kind", "g").agg(F.count("*").alias("f"))
-    ranked = keys.join(freq, ["kind", "g"]).groupBy("kind", "n").agg(F.array_sort(F.collect_list(F.struct("f", "g"))).alias("gs"))
-    return ranked.select("kind", "n", F.explode(F.slice("gs", F.lit(1), take)).alias("x")).select("kind", "n", F.col("x.g").alias("g"))
+    best = scored.join(first.withColumnRenamed("n", "en"), ["kind", "en"]).groupBy("kind", "mn").agg(F.min(F.struct((-F.col("score")).alias("neg"), "first.ord", "first.id")).alias("b"))
+    return m.withColumnRenamed("n", "mn").join(best, ["kind", "mn"]).select("kind", F.col("m").alias(name), F.col("b.id").alias("entity_id"), (-F.col("b.neg")).alias("score"))
 
 
 def missing_entities(rest: DataFrame) -> DataFrame:
@@ -312,9 +306,9 @@ def filter_by_confidence(rels: DataFrame, least: float = 0.5, column: str = "con
 
 
 def enrich_edges(edges: DataFrame, entities: DataFrame) -> DataFrame:
-    """Edges with name and description of both ends, null where an end is unknown. ``entities``: id, name, description."""
-    e = small(entities.select("id", "name", "description"))
+    """Edges with name and description of both ends, null where an end is unknown. ``entities``: id (unique), name, description."""
+    e = cut_lineage(entities.select("id", "name", "description"))
     s = e.select(F.col("id").alias("source_id"), F.col("name").alias("source_name"), F.col("description").alias("source_description"))
     t = e.select(F.col("id").alias("target_id"), F.col("name").alias("target_name"), F.col("description").alias("target_description"))
-    return edges.join(s, "source_id", "left").join(t, "target_id", "left")
+    return lookup(lookup(edges, s, ["source_id"]), t, ["target_id"])
 

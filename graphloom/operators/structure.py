@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from graphloom.functions.text import WS, col, strip, truncate, word_count, words
 
@@ -26,27 +30,29 @@ def is_known_extension(c) -> Column:
     return F.lower(F.regexp_extract(col(c), r"(\.[^./\\]*)$", 1)).isin(".pdf", ".docx", ".doc", ".txt", ".md", ".rst")
 
 
-def unescape_html(c) -> Column:
-    """The common named references and decimal character references of the basic plane."""
-    out = col(c)
-    for name, ch in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("nbsp", " "), ("amp", "&")):
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(ch))
-    return out
+@F.pandas_udf(StringType())
+def unescape_html(c: pd.Series) -> pd.Series:
+    """All named and numeric character references, as web readers take them; text without '&' passes untouched."""
+    return c.map(lambda s: html.unescape(s) if s is not None and "&" in s else s)
+
+
+#: a tag whose quoted attribute values may hold '>'
+TAG = r"""<[a-zA-Z/?](?:"[^"]*+"|'[^']*+'|[^'">])*+>"""
 
 
-def html_text(html) -> Column:
+def html_text(page) -> Column:
     """All text nodes of a page joined by blank lines; scripts, styles, comments and declarations hold no text."""
-    s = F.regexp_replace(col(html), r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
+    s = F.regexp_replace(col(page), r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
     s = F.regexp_replace(s, r"(?s)<!--.*?-->", "")
     s = F.regexp_replace(s, r"(?is)<!doctype[^>]*>", "")
-    nodes = F.filter(F.split(s, r"<[^>]*>"), lambda x: x != "")
-    return F.array_join(F.transform(nodes, unescape_html), "\n\n")
+    # blank lines stand between nodes, so no reference reaches over a node's end
+    return unescape_html(F.array_join(F.filter(F.split(s, TAG), lambda x: x != ""), "\n\n"))
 
 
-def html_title(html) -> Column:
+def html_title(page) -> Column:
     """Content of the first title element, else null."""
-    t = F.regexp_extract(col(html), r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return F.when(t != "", unescape_html(t))
+    t = F.regexp_extract(col(page), r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return unescape_html(F.when(t != "", t))
 
 
 def normalize_newlines(c) -> Column:
@@ -69,29 +75,35 @@ def style_header(style) -> Column:
     return F.coalesce(col(style).startswith("Heading"), F.lit(False))
 
 
-def sections(docs: DataFrame, header, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, section_no, title, content) of each document, cut at header lines.
+def with_sections(docs: DataFrame, header, text: str = "text", into: str = "sections") -> DataFrame:
+    """Documents with their sections as an array of (title, content), cut at header lines.
 
     Text before the first header belongs to 'Introduction'. Sections with a blank
     body are dropped, so a header followed by another header leaves no trace. Null
-    texts have no section. Lines of a document are ordered within its own rows, so
-    the only shuffle is by document.
+    texts have null. The lines of a section are a slice of its document's lines, so
+    the cost is linear in the text and nothing is shuffled.
     """
-    rows = docs.select(F.col(key), F.posexplode(F.split(normalize_newlines(text), "\n")).alias("pos", "line"))
-    w = Window.partitionBy(key).orderBy("pos")
-    marked = rows.withColumn("head", header(F.col("line"))).withColumn("grp", F.sum(F.col("head").cast("int")).over(w))
-    lines = F.array_sort(F.collect_list(F.when(~F.col("head"), F.struct("pos", "line"))))
-    out = marked.groupBy(key, "grp").agg(
-        F.max(F.when(F.col("head"), strip("line"))).alias("title"),
-        F.concat(F.array_join(F.transform(lines, lambda x: x["line"]), "\n"), F.lit("\n")).alias("content"),
-    )
-    kept = out.where(strip("content") != "")
-    return kept.select(
-        key,
-        F.row_number().over(Window.partitionBy(key).orderBy("grp")).alias("section_no"),
-        F.coalesce("title", F.lit(FIRST_SECTION)).alias("title"),
-        "content",
-    )
+    lines, heads = F.col("_lines"), F.col("_heads")
+    cut = docs.withColumn("_lines", F.split(normalize_newlines(text), "\n"))
+    # 1-based places of the header lines; 0 opens the part before the first one
+    places = F.filter(F.transform(lines, lambda line, i: F.when(header(line), i + 1)), lambda x: x.isNotNull())
+    cut = cut.withColumn("_heads", F.concat(F.array(F.lit(0)), places, F.array(F.size(lines) + 1)))
+
+    def section(at: Column, k: Column) -> Column:
+        body = F.slice(lines, at + 1, F.get(heads, k + 1) - at - 1)
+        return F.struct(
+            F.when(at == 0, F.lit(FIRST_SECTION)).otherwise(strip(F.get(lines, at - 1))).alias("title"),
+            F.concat(F.array_join(body, "\n"), F.lit("\n")).alias("content"),
+        )
+
+    every = F.transform(F.slice(heads, F.lit(1), F.size(heads) - 1), section)
+    return cut.withColumn(into, F.filter(every, lambda x: strip(x["content"]) != "")).drop("_lines", "_heads")
+
+
+def sections(docs: DataFrame, header, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, section_no, title, content): the sections of :func:`with_sections` as rows, numbered from 1."""
+    rows = with_sections(docs.select(key, F.col(text).alias("_t")), header, "_t", "_s").select(key, F.posexplode_outer("_s").alias("n", "s"))
+    return rows.where("s IS NOT NULL").select(key, (F.col("n") + 1).alias("section_no"), "s.title", "s.content")
 
 
 def styled_sections(paragraphs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -114,20 +126,20 @@ def chunk_text(c, size: int = 1000, overlap: int = 100, paragraph_sep: str = "\n
     paragraphs are skipped. ``compat`` keeps the whole previous chunk when the
     overlap is 0. A fold over the paragraphs of one row: no shuffle.
     """
-    paras = F.filter(F.split(col(c), _literal(paragraph_sep)), lambda p: strip(p) != "")
+    # the words of a paragraph are counted once
+    paras = F.transform(F.filter(F.split(col(c), _literal(paragraph_sep)), lambda p: strip(p) != ""), lambda p: F.struct(p.alias("p"), word_count(p).alias("n")))
     state = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"), F.lit(0).alias("tok"))
 
-    def step(acc: Column, p: Column) -> Column:
-        n = word_count(p)
+    def step(acc: Column, para: Column) -> Column:
+        p, n = para["p"], para["n"]
         flush = (acc["tok"] + n > size) & (acc["cur"] != "")
         prev = words(acc["cur"])
         if overlap == 0 and not compat:
-            tail, k = F.lit(""), F.lit(0)
+            joined, k = p, F.lit(0)
         else:
             k = F.least(acc["tok"], F.lit(overlap))
-            take = F.size(prev) if overlap == 0 else k
-            tail = F.array_join(F.slice(prev, F.greatest(F.size(prev) - take + 1, F.lit(1)), F.greatest(take, F.lit(0))), " ")
-        joined = F.when(tail == "", p).otherwise(F.concat(tail, F.lit(paragraph_sep), p))
+            tail = prev if overlap == 0 else F.when(k < 1, F.array().cast("array<string>")).otherwise(F.reverse(F.slice(F.reverse(prev), F.lit(1), k)))
+            joined = F.array_join(F.filter(F.array(F.array_join(tail, " "), p), lambda x: x != ""), paragraph_sep)
         return F.struct(
             F.when(flush, F.concat(acc["done"], F.array(strip(acc["cur"])))).otherwise(acc["done"]).alias("done"),
             F.when(flush, joined).when(acc["cur"] == "", p).otherwise(F.concat(acc["cur"], F.lit(paragraph_sep), p)).alias("cur"),
@@ -148,11 +160,14 @@ def chunk_documents(docs: DataFrame, size: int = 1000, overlap: int = 100, parag
     """
     whole = F.array(F.struct(F.lit(None).cast("string").alias("title"), F.col("text").alias("content")))
     parts = F.when(F.size("sections") > 0, F.col("sections")).otherwise(whole) if "sections" in docs.columns else whole
-    per_section = docs.select(key, F.posexplode(parts).alias("section_no", "s")).select(
-        key, "section_no", F.col("s.title").alias("section_title"), F.posexplode(chunk_text(F.col("s.content"), size, overlap, paragraph_sep)).alias("in_section", "text")
-    )
-    w = Window.partitionBy(key).orderBy("section_no", "in_section")
-    return per_section.select(key, "section_no", "section_title", (F.row_number().over(w) - 1).alias("chunk_ix"), "text")
+
+    def chunks_of(s: Column, no: Column) -> Column:
+        texts = F.coalesce(chunk_text(s["content"], size, overlap, paragraph_sep), F.array().cast("array<string>"))
+        return F.transform(texts, lambda t: F.struct(no.alias("section_no"), s["title"].alias("section_title"), t.alias("text")))
+
+    # outer, as the filter that is inferred for a plain explode would make the chunks twice
+    rows = docs.select(key, F.posexplode_outer(F.flatten(F.transform(parts, chunks_of))).alias("chunk_ix", "c"))
+    return rows.where("c IS NOT NULL").select(key, "c.section_no", "c.section_title", "chunk_ix", "c.text")
 
 
 def document_metadata(docs: DataFrame, sections_of: DataFrame | None = None, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -226,10 +241,12 @@ def select_chunks(chunks: DataFrame, index: int | None = None, between: tuple[in
     """
     if index is not None or between is not None:
         lo, hi = (index, index) if index is not None else between
-        out = chunks.where(F.col(ix).between(lo, hi))
-        if lo > hi or out.isEmpty():
+        if lo > hi:
             raise ValueError(f"no chunk in {lo}-{hi}")
-        return out
+        # the check is part of the plan, so the data are read once: an empty range fails when it runs
+        out = chunks.where(F.col(ix).between(lo, hi))
+        none = out.agg(F.count("*").alias("n")).where(F.assert_true(F.col("n") > 0, f"no chunk in {lo}-{hi}").isNotNull())
+        return out.unionByName(none.select(*(F.lit(None).cast(t).alias(c) for c, t in out.dtypes)))
     return chunks.orderBy(ix).limit(first) if first is not None else chunks
 
 

@@ -34,7 +34,7 @@ def text_scan(spark, d):
 def _page(text):
     return F.concat(
         F.lit("<!DOCTYPE html><html><head><title>"), F.coalesce("doc_type", F.lit("none")), F.lit("</title><script>var x = '<b>';</script><style>p {}</style></head><body><!-- <p>hidden</p> --><p>"),
-        F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("\n\n"), F.lit("</p><p>")), F.lit("</p></body></html>"),
+        F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("\n\n"), F.lit("</p><p>")), F.lit("</p><p title=\"a>b\" class='x>y'>caf&eacute; it&#8217;s &#x41;&amp;&#233</p></body></html>"),
     )
 
 
@@ -60,9 +60,7 @@ def chunk_documents(spark, d):
 
 def chunk_stats(spark, d):
     """Scan, sections by their headers, ordered fold into chunks, statistics per section title."""
-    sec = S.sections(_docs(spark, d), S.colon_header)
-    arr = sec.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("section_no", "title", "content"))).alias("s"))
-    docs = arr.select("doc_id", F.transform("s", lambda x: F.struct(x["title"].alias("title"), x["content"].alias("content"))).alias("sections"), F.lit(None).cast("string").alias("text"))
+    docs = S.with_sections(_docs(spark, d).select("doc_id", "text"), S.colon_header).withColumn("text", F.lit(None).cast("string"))
     out = S.chunk_documents(docs, SIZE, OVERLAP).withColumn("n", X.word_count("text"))
     return out.groupBy("section_title").agg(
         F.count("*").alias("n_chunks"), F.sum("n").cast("bigint").alias("total_words"), F.round(F.avg("n"), 6).alias("mean_words")
@@ -228,7 +226,7 @@ FROM (SELECT chunk_id, metadata, lower(regexp_extract({_SRC}, '(\.[^./\\]*)$', 1
     "html_text": r"""
 WITH p AS (SELECT doc_id, coalesce(doc_type, 'none') AS ty, string_split(replace(text, chr(10) || chr(10), '</p><p>'), '</p><p>') AS parts, text FROM documents WHERE text IS NOT NULL),
 t AS (SELECT doc_id, ty, array_to_string(list_filter(list_prepend(ty, list_transform(string_split(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), chr(10) || chr(10), '</p><p>'), '</p><p>'),
-  lambda x: replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'))), lambda x: x <> ''), chr(10) || chr(10)) AS body FROM p)
+  lambda x: replace(replace(x, '&lt;', '<'), '&amp;', '&'))).list_append('café it’s A&é'), lambda x: x <> ''), chr(10) || chr(10)) AS body FROM p)
 SELECT doc_id, ty AS title, md5(body) AS digest, length(body) AS n FROM t""",
     "section_split_upper": f"WITH {_sections(_UPPER)} SELECT doc_id, section_no, title, md5(content) AS digest FROM sec",
     "section_split_colon": f"WITH {_sections(_COLON)} SELECT doc_id, section_no, title, md5(content) AS digest FROM sec",
