@@ -241,12 +241,10 @@ def select_chunks(chunks: DataFrame, index: int | None = None, between: tuple[in
     """
     if index is not None or between is not None:
         lo, hi = (index, index) if index is not None else between
-        if lo > hi:
-            raise ValueError(f"no chunk in {lo}-{hi}")
-        # the check is part of the plan, so the data are read once: an empty range fails when it runs
         out = chunks.where(F.col(ix).between(lo, hi))
-        none = out.agg(F.count("*").alias("n")).where(F.assert_true(F.col("n") > 0, f"no chunk in {lo}-{hi}").isNotNull())
-        return out.unionByName(none.select(*(F.lit(None).cast(t).alias(c) for c, t in out.dtypes)))
+        if lo > hi or out.isEmpty():
+            raise ValueError(f"no chunk in {lo}-{hi}")
+        return out
     return chunks.orderBy(ix).limit(first) if first is not None else chunks
 
 

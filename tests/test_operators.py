@@ -129,7 +129,7 @@ def test_orphans(spark):
         (4, "n/a", "Actor", None, "Event", "2020-03-01"), (5, k, "Event", k, "Planet", None), (5, k, "Event", k, "Planet", None), (6, k, "Actor", k, "Actor", None),
     ]
     rel = spark.createDataFrame(rows, "rel_id bigint, source string, source_type string, target string, target_type string, c string").withColumn("created_at", ts("c"))
-    got = sorted((r.rel_id, r.side, r.reason) for r in P.orphans(rel, tables, salts=3).collect())
+    got = sorted((r.rel_id, r.side, r.reason) for r in P.orphans(rel, tables, least=1, hot_share=0.2).collect())
     assert got == [(2, "source", "deleted"), (2, "target", "deleted"), (3, "source", "late"), (4, "source", "missing")] + [(5, "source", "missing")] * 2 + [(5, "target", "missing")] * 2
     assert P.orphans(rel.limit(0), tables).count() == 0
 
@@ -192,3 +192,16 @@ def test_entry_without_llm(spark):
 
     names = set(entry.queries())
     assert {"chunk_stats", "p6_found"} <= names and set(entry.oracle_sql()) <= names
+
+
+def test_malformed_references_leave_partitions_even(spark):
+    """Half of all references are no keys and a third name one record: the first need no join, the other is dealt over blocks."""
+    key = "0" * 31 + "1"
+    rows = [(i, "junk" if i % 2 else f"{i:032x}", "Actor", key if i % 3 else None, "actors ", "2024-01-01 00:00:00") for i in range(4000)]
+    rel = spark.createDataFrame(rows, "rel_id bigint, source string, source_type string, target string, target_type string, created_at string").withColumn("created_at", F.to_timestamp_ntz("created_at"))
+    actors = spark.createDataFrame([(key.upper(), None, None)], "id string, loaded_at timestamp_ntz, deleted_at timestamp_ntz")
+    out = P.orphans(rel, {"actors": actors}, least=50)
+    assert out.where("side = 'source'").count() == 4000 and out.where("side = 'target'").count() == 0
+    # the malformed half is in no join, and the hot key is dealt over blocks
+    joined = out._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count("Join LeftOuter") == 3 and "salt" in joined
