@@ -147,3 +147,9 @@ def priority_score(confidence, quality, n_high) -> Column:
         bonus = F.when(q == level, x).otherwise(bonus)
     raw = 6 - F.coalesce(col(confidence).cast("double"), F.lit(1.0)) + bonus + col(n_high)
     return F.greatest(F.lit(1), F.least(F.lit(10), raw.cast("int")))
+
+
+def utf8_text(c) -> Column:
+    """Bytes read as UTF-8 without what is no UTF-8; replacement characters of broken bytes' neighbours go as well."""
+    s = col(c).cast("string")
+    return F.when(F.is_valid_utf8(s), s).otherwise(F.replace(F.make_valid_utf8(s), F.lit("\ufffd"), F.lit("")))

@@ -100,10 +100,3 @@ def supporting_text(name, year, text, kind: Column, limit: int = 200) -> Column:
 
     got = F.slice(F.filter(sentences, fits), 1, 2)
     return F.when(F.size(got) > 0, F.array_join(got, ". ")).otherwise(truncate(t, limit))
-
-
-def typed_items(parsed: DataFrame, kind: str, column: str, order: list[str]) -> DataFrame:
-    """The objects of one list of a parsed response as rows; entries that are no objects are dropped."""
-    rest = [c for c in parsed.columns if c != column]
-    return parsed.select(*rest, F.posexplode(F.filter(F.col(column), lambda x: x.isNotNull())).alias("item_no", "item")).withColumn("kind", F.lit(kind)).orderBy(*order, "item_no")
-

@@ -38,7 +38,13 @@ PUBLICATION_TYPES = (
 
 @dataclass(frozen=True)
 class Rule:
-    """One check of a field: ``kind`` is required, enum, items_enum, range, max_length, pattern, format, items or keys."""
+    """One check of a field.
+
+    ``kind`` is required, enum, items_enum, range, max_length, pattern, format or
+    items; on JSON records also type, nested_required (keys of an object),
+    items_required (keys of every object of a list) and keys (the allowed keys of
+    the field, of the record where the field is empty).
+    """
 
     field: str
     kind: str
@@ -171,26 +177,83 @@ def unknown_keys(rows: DataFrame, json_column: str, allowed: tuple[str, ...], ke
     return rows.select(F.col(key), F.explode(extra).alias("extra"))
 
 
+#: JSON type -> types that a parsed value of it may have
+JSON_TYPES = {"string": "STRING", "integer": "BIGINT", "number": "BIGINT|DECIMAL|DOUBLE|FLOAT", "boolean": "BOOLEAN", "array": "ARRAY", "object": "OBJECT"}
+#: what must stand in the data-entry form of an event, where the type is required too
+FORM_RULES = tuple(Rule(f, "required") for f in ("title", "year", "type", "description"))
+
+
+def json_fails(rule: Rule, record: Column) -> Column:
+    """True where a JSON record (text) breaks the rule; absent and null fields only break 'required'."""
+    path = f"$.{rule.field}" if rule.field else "$"
+    raw = F.get_json_object(record, path)
+    if rule.kind == "type":
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(record), path, "variant"))
+        # a number without a fraction is an integer
+        whole = (kind.startswith("DECIMAL") & raw.try_cast("double").eqNullSafe(F.floor(raw.try_cast("double")))) if rule.arg == "integer" else F.lit(False)
+        return raw.isNotNull() & F.coalesce(~(kind.rlike(f"^({JSON_TYPES[rule.arg]})") | whole), F.lit(False))
+    if rule.kind in ("nested_required", "keys"):
+        keys = F.json_object_keys(raw)
+        want = F.array(*(F.lit(k) for k in rule.arg))
+        missing = F.array_except(want, keys) if rule.kind == "nested_required" else F.array_except(keys, want)
+        return F.coalesce(F.size(missing) > 0, F.lit(False))
+    if rule.kind == "items_required":
+        items = F.from_json(raw, "array<map<string,string>>")
+        return F.coalesce(F.exists(items, lambda x: F.size(F.array_except(F.array(*(F.lit(k) for k in rule.arg)), F.map_keys(x))) > 0), F.lit(False))
+    if rule.kind in ("items", "items_enum"):
+        return fails(rule, F.from_json(raw, "array<string>"), "array<string>")
+    return fails(rule, raw.try_cast("double") if rule.kind == "range" else raw, "string")
+
+
+def json_errors(rows: DataFrame, rules: tuple[Rule, ...], record: str = "record", key: str = "id") -> DataFrame:
+    """(key, field, rule) of every rule that a JSON record breaks; a text that is no JSON object breaks ('', 'type'). Null records are left out."""
+    no_object = ~F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(record))).startswith("OBJECT"), F.lit(False))
+    found = [F.when(no_object, F.struct(F.lit("").alias("field"), F.lit("type").alias("rule")))]
+    found += [F.when(~no_object & json_fails(r, F.col(record)), F.struct(F.lit(r.field).alias("field"), F.lit(r.kind).alias("rule"))) for r in rules]
+    # outer, as the filter that is inferred for a plain explode would run every check twice
+    out = rows.where(F.col(record).isNotNull()).select(F.col(key), F.explode_outer(F.array_compact(F.array(*found))).alias("e"))
+    return out.where("e IS NOT NULL").select(key, "e.field", "e.rule")
+
+
 def load_rules(folder: str) -> dict[str, tuple[Rule, ...]]:
-    """Rules read from a folder of JSON schemas, by file name; nested objects are left to their own checks."""
+    """Rules read from a folder of JSON schemas, by file name, nested objects and lists of objects included."""
     out = {}
     for p in sorted(Path(folder).glob("*.json")):
         schema = json.loads(p.read_text(encoding="utf-8"))
-        rules = [Rule(f, "required") for f in schema.get("required", [])]
-        for f, s in schema.get("properties", {}).items():
-            if "enum" in s:
-                rules.append(Rule(f, "enum", tuple(s["enum"])))
-            if s.get("type") == "array" and "enum" in s.get("items", {}):
-                rules.append(Rule(f, "items_enum", tuple(s["items"]["enum"])))
-            if s.get("type") == "array" and ("minItems" in s or "maxItems" in s):
-                rules.append(Rule(f, "items", (s.get("minItems", 0), s.get("maxItems", 2**31 - 1))))
-            if "minimum" in s or "maximum" in s:
-                rules.append(Rule(f, "range", (s.get("minimum"), s.get("maximum"))))
-            if "maxLength" in s:
-                rules.append(Rule(f, "max_length", s["maxLength"]))
-            if "pattern" in s:
-                rules.append(Rule(f, "pattern", s["pattern"]))
-            if s.get("format") in FORMATS:
-                rules.append(Rule(f, "format", s["format"]))
-        out[p.stem] = tuple(rules)
+        out[p.stem] = tuple(_rules_of(schema))
     return out
+
+
+def _rules_of(schema: dict) -> list[Rule]:
+    rules = [Rule(f, "required") for f in schema.get("required", [])]
+    if schema.get("additionalProperties") is False:
+        rules.append(Rule("", "keys", tuple(schema.get("properties", {}))))
+    for f, s in schema.get("properties", {}).items():
+        items = s.get("items", {})
+        if s.get("type") in JSON_TYPES:
+            rules.append(Rule(f, "type", s["type"]))
+        if "enum" in s:
+            rules.append(Rule(f, "enum", tuple(s["enum"])))
+        if "enum" in items:
+            rules.append(Rule(f, "items_enum", tuple(items["enum"])))
+        if "minItems" in s or "maxItems" in s:
+            rules.append(Rule(f, "items", (s.get("minItems", 0), s.get("maxItems", 2**31 - 1))))
+        if "minimum" in s or "maximum" in s:
+            rules.append(Rule(f, "range", (s.get("minimum"), s.get("maximum"))))
+        if "maxLength" in s:
+            rules.append(Rule(f, "max_length", s["maxLength"]))
+        if "pattern" in s:
+            rules.append(Rule(f, "pattern", s["pattern"]))
+        if s.get("format") in FORMATS:
+            rules.append(Rule(f, "format", s["format"]))
+        if s.get("type") == "object" and s.get("required"):
+            rules.append(Rule(f, "nested_required", tuple(s["required"])))
+        if s.get("type") == "object" and s.get("additionalProperties") is False:
+            rules.append(Rule(f, "keys", tuple(s.get("properties", {}))))
+        if items.get("type") == "object" and items.get("required"):
+            rules.append(Rule(f, "items_required", tuple(items["required"])))
+        # the fields of a nested object, by their path
+        if s.get("type") == "object":
+            nested = {"properties": {f"{f}.{k}": v for k, v in s.get("properties", {}).items()}}
+            rules += _rules_of(nested)
+    return rules

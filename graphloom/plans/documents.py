@@ -108,7 +108,7 @@ def markdown_export(spark, d):
 
 
 def mention_counts(spark, d):
-    return H.mention_counts(_docs(spark, d), ("person", "location", "event"), 2, key="doc_id")
+    return H.mention_counts(_docs(spark, d), at_least=2, key="doc_id")
 
 
 def year_events(spark, d):
@@ -245,7 +245,7 @@ SELECT doc_id, ty AS title, md5(body) AS digest, length(body) AS n FROM t""",
     "chunk_selection": "SELECT chunk_id, chunk_ix FROM chunks WHERE chunk_ix BETWEEN 1 AND 2",
     "markdown_export": "SELECT doc_id, md5('# Document ' || doc_id || chr(10) || chr(10) || '## Metadata' || chr(10) || chr(10) || '- **lang**: ' || coalesce(lang, '') || chr(10) || '- **source**: ' || coalesce(source, '')"
     " || chr(10) || chr(10) || '## Content' || chr(10) || chr(10) || coalesce(text, '')) AS digest FROM documents",
-    "mention_counts": f"SELECT kind, mention, count(*) AS n FROM ({' UNION ALL '.join(_mention(k) for k in ('person', 'location', 'event'))}) m GROUP BY 1, 2 HAVING count(*) >= 2",
+    "mention_counts": f"SELECT kind, mention, count(*) AS n FROM ({' UNION ALL '.join(_mention(k) for k in H.MENTION_PATTERNS)}) m GROUP BY 1, 2 HAVING count(*) >= 2",
     "year_events": f"WITH {_YEARS} SELECT doc_id, hit, year, title, md5(context) AS context FROM yt",
     "keyword_context": "SELECT doc_id, indicator, md5(ctx) AS context FROM (" + _ORG.format("'council', 'ministry', 'network', 'report'") + ") z",
     "first_entities": f"WITH {_YEARS} SELECT title, year, doc_id, hit FROM (SELECT *, row_number() OVER (PARTITION BY title, year ORDER BY doc_id, hit) AS r FROM yt) z WHERE r = 1",

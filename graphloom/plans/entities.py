@@ -87,8 +87,8 @@ def _rels(spark, d):
 
 
 def _known(spark, d):
-    """A third of the concepts are known: those of the domain list that names Ecology or Policy."""
-    c = read(spark, d, "concepts").where(F.arrays_overlap("domain", F.array(F.lit("Ecology"), F.lit("Policy"))))
+    """All concepts under their names; alternative names may match nothing."""
+    c = read(spark, d, "concepts")
     return c.where("name IS NOT NULL").select(F.lit("concept").alias("kind"), F.col("name").alias("entity_name"), F.col("id"), F.col("rec_id").alias("ord"))
 
 
@@ -136,7 +136,7 @@ def pattern_hop(spark, d):
 
 def path_trails(spark, d):
     e = read(spark, d, "relationships").where("source IS NOT NULL AND target IS NOT NULL").select(F.col("rel_id").alias("edge_id"), F.col("source").alias("source_id"), F.col("target").alias("target_id"), "relationship_type")
-    start = _vertices(spark, d).where((F.col("label") == "Event") & (F.col("year") < 1955)).select("id")
+    start = _vertices(spark, d).where(F.col("label") == "Event").select("id")
     out = G.trails(e, start, ("Precedes", "Follows", "Influences"), 3)
     return out.select("start", "end", "hops", "path")
 
@@ -205,7 +205,7 @@ _V = (
     " UNION ALL SELECT id, 'Location', arg_min_null(name, rec_id), arg_min_null(description, rec_id), NULL FROM locations GROUP BY id"
 ).replace("arg_min(name", "arg_min_null(name").replace("arg_min(description", "arg_min_null(description")
 _RELS = "SELECT rec_id AS ord, name AS s, alternative_names[1] AS t, definition FROM concepts WHERE len(alternative_names) > 0 AND coalesce(name, '') <> '' AND coalesce(alternative_names[1], '') <> ''"
-_KNOWN = "SELECT name AS nm, id, rec_id AS ord FROM concepts WHERE (list_contains(domain, 'Ecology') OR list_contains(domain, 'Policy')) AND name IS NOT NULL"
+_KNOWN = "SELECT name AS nm, id, rec_id AS ord FROM concepts WHERE name IS NOT NULL"
 _RESOLVED = rf"""
 rels AS ({_RELS}), known AS ({_KNOWN}),
 keys AS (SELECT key, arg_max(id, ord) AS id FROM (SELECT lower(nm) AS key, id, ord FROM known UNION SELECT {_norm("nm")}, id, ord FROM known) k WHERE key <> '' GROUP BY key),
@@ -250,7 +250,7 @@ FROM (SELECT *, CASE WHEN coalesce(year, 0) <> 0 THEN lower(title) || '_' || yea
     " WHERE a.label = 'Actor' AND b.label = 'Event' AND relationship_type IN ('Participates', 'Advocates')",
     "path_trails": f"""
 WITH RECURSIVE v AS ({_V}), e AS (SELECT rel_id, source, target FROM relationships WHERE source IS NOT NULL AND target IS NOT NULL AND relationship_type IN ('Precedes', 'Follows', 'Influences')),
-w AS (SELECT id AS start, id AS at_node, [-1::bigint] AS used, id AS path, 0 AS hops FROM v WHERE label = 'Event' AND year < 1955
+w AS (SELECT id AS start, id AS at_node, [-1::bigint] AS used, id AS path, 0 AS hops FROM v WHERE label = 'Event'
   UNION ALL SELECT start, target, list_append(used, rel_id), path || '>' || target, hops + 1 FROM w JOIN e ON e.source = at_node WHERE hops < 3 AND NOT list_contains(used, rel_id))
 SELECT start, at_node AS "end", hops, path FROM w WHERE hops > 0""",
     "earliest_follow": f"""

@@ -133,16 +133,24 @@ def task_cards(spark, d):
 _COLLECTIONS = {"events": ("event_records", {}), "actors": ("actors", {}), "locations": ("locations", {}), "concepts": ("concepts", {}), "publications": ("publications", {})}
 
 
+def _relationship_records(spark, d):
+    """Relationships under the field names of their rules."""
+    r = read(spark, d, "relationships")
+    return r.select(F.col("rel_id").alias("rec_id"), F.col("rel_id").cast("string").alias("id"), F.col("source").alias("source_id"), "source_type", F.col("target").alias("target_id"), "target_type", "relationship_type", "strength", "confidence")
+
+
 def schema_rules(spark, d):
     out = None
     for name, (t, _) in _COLLECTIONS.items():
         part = W.errors(read(spark, d, t), name[:-1], key="rec_id").select(F.lit(name[:-1]).alias("kind"), "rec_id", "field", "rule")
         out = part if out is None else out.unionByName(part)
-    return out
+    rel = W.errors(_relationship_records(spark, d), "relationship", key="rec_id")
+    return out.unionByName(rel.select(F.lit("relationship").alias("kind"), "rec_id", "field", "rule"))
 
 
 def dataset_counts(spark, d):
-    return W.dataset_counts({name: (read(spark, d, t), "rec_id") for name, (t, _) in _COLLECTIONS.items()})
+    tables = {name: (read(spark, d, t), "rec_id") for name, (t, _) in _COLLECTIONS.items()}
+    return W.dataset_counts({**tables, "relationships": (_relationship_records(spark, d), "rec_id")})
 
 
 def uniqueness(spark, d):
@@ -164,10 +172,10 @@ def unknown_kinds(spark, d):
 
 
 def ref_integrity(spark, d):
-    """Endpoints of valid relationships that name no record (exact keys and singular types, as in a strict data set)."""
-    rel = read(spark, d, "relationships").where("source IS NOT NULL AND target IS NOT NULL")
+    """Endpoints that are filled and name no record (exact keys and singular types, as in a strict data set)."""
+    rel = read(spark, d, "relationships")
     side = lambda s: rel.select("rel_id", F.lit(s).alias("side"), F.lower(f"{s}_type").alias("kind"), F.col(s).alias("id"))
-    ends = side("source").unionByName(side("target"))
+    ends = side("source").unionByName(side("target")).where("id IS NOT NULL")
     ids = None
     for name, (t, _) in _COLLECTIONS.items():
         part = read(spark, d, t).select(F.lit(name[:-1]).alias("kind"), "id").distinct()
@@ -285,10 +293,14 @@ _COLS = {
     "concept": dict.fromkeys(("id", "name", "definition", "domain", "significance"), ""),
     "publication": dict.fromkeys(("id", "title", "year", "type"), ""),
 }
-_ERR = "\nUNION ALL ".join(_rule_sql(n[:-1], t, _COLS[n[:-1]]) for n, (t, _) in _COLLECTIONS.items())
+_REL = "(SELECT rel_id AS rec_id, rel_id::varchar AS id, source AS source_id, source_type, target AS target_id, target_type, relationship_type, strength, confidence FROM relationships) r"
+_ERR = "\nUNION ALL ".join(
+    [_rule_sql(n[:-1], t, _COLS[n[:-1]]) for n, (t, _) in _COLLECTIONS.items()]
+    + [_rule_sql("relationship", _REL, dict.fromkeys(("id", "source_id", "source_type", "target_id", "target_type", "relationship_type", "strength", "confidence"), ""))]
+)
 _CNT = "\nUNION ALL ".join(
     f"SELECT '{n[:-1]}' AS kind, count(*) AS total, count(*) FILTER (b.rec_id IS NULL) AS valid, count(*) FILTER (b.rec_id IS NOT NULL) AS invalid FROM {t} x LEFT JOIN (SELECT DISTINCT rec_id FROM err WHERE kind = '{n[:-1]}') b ON b.rec_id = x.rec_id"
-    for n, (t, _) in _COLLECTIONS.items()
+    for n, (t, _) in [*_COLLECTIONS.items(), ("relationships", (_REL[: -len(" r")], None))]
 )
 _RESP = """resp AS (SELECT rec_id, CASE WHEN rec_id % 4 IN (0, 1) THEN translate(coalesce(title, ''), '"\\', '  ') END AS t, CASE WHEN rec_id % 4 IN (0, 1) THEN year END AS y, rec_id % 4 AS k FROM event_records)"""
 
@@ -323,8 +335,8 @@ SELECT * FROM f UNION ALL SELECT 9, 'Extraction quality is acceptable' WHERE NOT
     "unknown_keys": "SELECT event_id, k AS extra FROM (SELECT event_id, unnest(json_keys(props)) AS k FROM events) x WHERE k NOT IN ('x', 'y')",
     "unknown_kinds": "SELECT rel_id, source_type FROM relationships WHERE regexp_replace(lower(source_type), 's$', '') NOT IN ('event', 'actor', 'location', 'concept', 'publication', 'relationship')",
     "ref_integrity": """WITH ids AS (SELECT 'actor' AS kind, id FROM actors UNION SELECT 'event', id FROM event_records UNION SELECT 'concept', id FROM concepts UNION SELECT 'publication', id FROM publications UNION SELECT 'location', id FROM locations),
-e AS (SELECT rel_id, 'source' AS side, lower(source_type) AS kind, source AS id FROM relationships WHERE source IS NOT NULL AND target IS NOT NULL
-  UNION ALL SELECT rel_id, 'target', lower(target_type), target FROM relationships WHERE source IS NOT NULL AND target IS NOT NULL)
+e AS (SELECT rel_id, 'source' AS side, lower(source_type) AS kind, source AS id FROM relationships WHERE source IS NOT NULL
+  UNION ALL SELECT rel_id, 'target', lower(target_type), target FROM relationships WHERE target IS NOT NULL)
 SELECT rel_id, side, kind FROM e WHERE NOT EXISTS (SELECT 1 FROM ids WHERE ids.kind = e.kind AND ids.id = e.id)""",
     "prompt_fanout": "SELECT chunk_id, 'event' AS entity_type, md5('List events in: ' || coalesce(text, '')) AS digest FROM chunks UNION ALL SELECT chunk_id, 'actor', md5('List actors in: ' || coalesce(text, '')) FROM chunks",
     "parse_llm_json": f"WITH {_RESP} SELECT rec_id, t AS title, y AS year, CASE WHEN k <> 3 THEN 'events' END AS named, CASE k WHEN 0 THEN 'Here it is' WHEN 1 THEN 'x ' || '" + '{"events' + "' WHEN 2 THEN 'not json \"' ELSE 'nothing' END AS head FROM resp",

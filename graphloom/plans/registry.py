@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from graphloom.plans import documents, entities, integrity, quality
+from graphloom.plans import documents, entities, integrity, pipeline, quality
 
-_MODULES = [documents, entities, integrity, quality]
+_MODULES = [documents, entities, integrity, pipeline, quality]
 
 
 def queries() -> dict:
