@@ -215,12 +215,20 @@ def json_errors(rows: DataFrame, rules: tuple[Rule, ...], record: str = "record"
     return out.where("e IS NOT NULL").select(key, "e.field", "e.rule")
 
 
-def load_rules(folder: str) -> dict[str, tuple[Rule, ...]]:
-    """Rules read from a folder of JSON schemas, by file name, nested objects and lists of objects included."""
+#: rules that only JSON records can break
+JSON_ONLY = ("type", "nested_required", "items_required", "keys")
+
+
+def load_rules(folder: str, records: bool = False) -> dict[str, tuple[Rule, ...]]:
+    """Rules read from a folder of JSON schemas, by file name.
+
+    With ``records`` the rules of JSON records: types, allowed keys, nested objects
+    and lists of objects too. Without, those of typed columns.
+    """
     out = {}
     for p in sorted(Path(folder).glob("*.json")):
         schema = json.loads(p.read_text(encoding="utf-8"))
-        out[p.stem] = tuple(_rules_of(schema))
+        out[p.stem] = tuple(r for r in _rules_of(schema) if records or (r.kind not in JSON_ONLY and "." not in r.field))
     return out
 
 

@@ -17,7 +17,7 @@ def test_schema_with_nested_rules(spark, tmp_path):
         },
     }
     (tmp_path / "thing.json").write_text(json.dumps(schema))
-    rules = W.load_rules(str(tmp_path))["thing"]
+    rules = W.load_rules(str(tmp_path), records=True)["thing"]
     rows = [
         (1, '{"name": "a", "size": 1.5, "place": {"type": "Point"}, "links": [{"url": "u"}]}'), (2, '{"size": "1"}'), (3, '{"name": "a", "other": 1, "place": {"x": 1}}'),
         (4, '{"name": "a", "place": {"type": "Line"}, "links": [{"url": "u"}, {}]}'), (5, None), (6, "3"), (7, '{"name": null}'),
