@@ -8,6 +8,7 @@ acronyms; verified links are clustered by star clustering.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import unicodedata
@@ -29,7 +30,8 @@ COMMON = 64
 #: least Monge-Elkan similarity, and most typing errors between two writings of one name
 THRESHOLD, MAX_EDITS = 0.8, 2
 
-#: fixed values: titles and degrees
+#: fixed values: titles and degrees; DEGREES may also be names and are titles only beside two other parts
+DEGREES = frozenset("ma ba ing jr sr hon".split())
 TITLES = frozenset("dr prof professor mr mrs ms mx sir dame phd md msc bsc ma ba mba dphil rev hon ing dipl jr sr".split())
 #: fixed values: words of organisation names without meaning of their own
 LINK_WORDS = frozenset("the of for and de der die das und fur et la le du des y".split())
@@ -43,20 +45,34 @@ KINDS = {
     "organisation": ("org", "organization"), "society": ("soc",), "department": ("dept", "dep"), "committee": ("cttee", "comm"), "college": ("coll",),
     "academy": ("acad",), "union": (), "commission": ("commn",), "hospital": ("hosp",), "laboratory": ("lab",), "federation": ("fed",), "group": ("grp",),
 }
-#: fixed values: short forms of given names that are no prefix of them
+#: fixed values: short forms of given names that are no prefix of them (a parameter of :func:`entities`)
 NICKNAMES = {
+    "jack": ("john",), "johnny": ("john",), "jim": ("james",), "jimmy": ("james",), "jamie": ("james",), "mike": ("michael",), "mick": ("michael",), "mickey": ("michael",), "dick": ("richard",), "rick": ("richard",),
+    "ricky": ("richard",), "ted": ("edward", "theodore"), "teddy": ("theodore", "edward"), "ned": ("edward",), "eddie": ("edward",), "chuck": ("charles",), "charlie": ("charles",), "hal": ("henry",), "rob": ("robert",), "bobby": ("robert",),
+    "billy": ("william",), "willie": ("william",), "liam": ("william",), "tony": ("anthony", "antonio"), "andy": ("andrew",), "drew": ("andrew",), "joe": ("joseph",), "joey": ("joseph",), "jerry": ("gerald", "jeremy"), "larry": ("lawrence",),
+    "pat": ("patrick", "patricia"), "paddy": ("patrick",), "steve": ("stephen", "steven"), "dave": ("david",), "matt": ("matthew",), "greg": ("gregory",), "jeff": ("jeffrey", "geoffrey"), "ron": ("ronald",), "ken": ("kenneth",),
+    "maggie": ("margaret",), "madge": ("margaret",), "daisy": ("margaret",), "molly": ("mary",), "polly": ("mary",), "mamie": ("mary",), "sally": ("sarah",), "sadie": ("sarah",), "nancy": ("anne", "ann"), "annie": ("anne", "anna"),
+    "nan": ("anne",), "jenny": ("jennifer", "jane"), "katie": ("katherine", "catherine"), "kathy": ("katherine", "catherine"), "kitty": ("katherine", "catherine"), "susie": ("susan",), "sue": ("susan",), "debbie": ("deborah",), "becky": ("rebecca",), "trudy": ("gertrude",),
+    "nell": ("helen", "eleanor"), "nora": ("eleanor", "honora"), "sandy": ("alexander", "sandra"), "abby": ("abigail",), "mandy": ("amanda",), "cindy": ("cynthia",), "fred": ("frederick", "alfred"), "pepe": ("jose",), "paca": ("francisca",), "misha": ("mikhail",),
+    "vanya": ("ivan",), "kolya": ("nikolai",), "seppi": ("josef",), "fritz": ("friedrich",), "hans": ("johannes",), "gigi": ("luigi",), "beppe": ("giuseppe",), "nacho": ("ignacio",), "lupe": ("guadalupe",), "quique": ("enrique",),
     "bobbie": ("roberta", "robert"), "bob": ("robert",), "bill": ("william",), "paco": ("francisco",), "pancho": ("francisco",), "kiko": ("francisco",),
-    "nastya": ("anastasia",), "stacy": ("anastasia",), "asya": ("anastasia",), "greta": ("margareta",), "rita": ("margareta",), "meg": ("margareta",), "peggy": ("margareta",), "gretel": ("margareta",),
+    "nastya": ("anastasia",), "stacy": ("anastasia",), "asya": ("anastasia",), "greta": ("margareta",), "rita": ("margareta", "margaret"), "meg": ("margareta", "margaret"), "peggy": ("margareta", "margaret"), "gretel": ("margareta",),
     "bella": ("isabella",), "izzy": ("isabella",), "dot": ("dorothea",), "dolly": ("dorothea",), "dottie": ("dorothea",), "thea": ("dorothea", "theodora"), "dora": ("theodora", "dorothea"),
-    "lis": ("elisabeth",), "liz": ("elisabeth",), "lisa": ("elisabeth",), "beth": ("elisabeth",), "betty": ("elisabeth",), "elsa": ("elisabeth",), "vicky": ("victoria",), "tori": ("victoria",),
-    "kit": ("christopher",), "kate": ("katarina",), "katya": ("katarina",), "kasia": ("katarina",), "katja": ("katarina",), "sasha": ("alexander",), "xander": ("alexander",), "alec": ("alexander",), "lex": ("alexander",),
-    "niko": ("nikolas",), "nick": ("nikolas",), "klaus": ("nikolas",), "nico": ("nikolas",), "tomek": ("tomasz",), "tom": ("tomasz",), "pasha": ("pavel",), "pepa": ("josefina",), "fina": ("josefina",), "josie": ("josefina",), "pepita": ("josefina",),
-    "lucy": ("lucia",), "lulu": ("lucia",), "hank": ("henrik",), "harry": ("henrik",), "rik": ("henrik",), "heiner": ("henrik",), "uschi": ("ursula",), "ulla": ("ursula",), "gaby": ("gabriela",), "ella": ("gabriela", "isabella"), "inge": ("ingrid",),
+    "lis": ("elisabeth",), "liz": ("elisabeth", "elizabeth"), "lisa": ("elisabeth", "elizabeth"), "beth": ("elisabeth", "elizabeth"), "betty": ("elisabeth", "elizabeth"), "elsa": ("elisabeth",), "vicky": ("victoria",), "tori": ("victoria",),
+    "kit": ("christopher",), "kate": ("katarina", "katherine", "catherine"), "katya": ("katarina",), "kasia": ("katarina",), "katja": ("katarina",), "sasha": ("alexander",), "xander": ("alexander",), "alec": ("alexander",), "lex": ("alexander",),
+    "niko": ("nikolas",), "nick": ("nikolas", "nicholas"), "klaus": ("nikolas",), "nico": ("nikolas",), "tomek": ("tomasz",), "tom": ("tomasz", "thomas"), "pasha": ("pavel",), "pepa": ("josefina",), "fina": ("josefina",), "josie": ("josefina",), "pepita": ("josefina",),
+    "lucy": ("lucia",), "lulu": ("lucia",), "hank": ("henrik", "henry"), "harry": ("henrik", "henry", "harold"), "rik": ("henrik",), "heiner": ("henrik",), "uschi": ("ursula",), "ulla": ("ursula",), "gaby": ("gabriela",), "ella": ("gabriela", "isabella"), "inge": ("ingrid",),
     "max": ("maximilian",), "maks": ("maximilian",), "danny": ("daniel",), "benny": ("benjamin",), "sammy": ("samuel",), "jas": ("jasper",), "kaspar": ("jasper",), "len": ("leonardo",), "lenny": ("leonardo",), "mimi": ("mirela",), "fi": ("fiona",), "quin": ("quentin",),
 }
 
-#: given names of the table
-GIVEN = frozenset((*NICKNAMES, *(f for fs in NICKNAMES.values() for f in fs)))
+Table = dict[str, tuple[str, ...]]
+
+
+@functools.cache
+def _given_names(pairs: tuple) -> frozenset[str]:
+    return frozenset(x for short, full in pairs for x in (short, *full))
+
+
 _KIND_OF = {s: k for k, ss in KINDS.items() for s in (k, *ss)}
 _WORD = re.compile(r"[^\W_]+")
 
@@ -94,14 +110,16 @@ def parse(name: str) -> tuple[str, tuple[str, ...]]:
         others = [w for w in words if w not in short and len(w) > 3]
         if len(short) == 1 and len(others) == 1 and not others[0].isupper() and "." not in bare:
             return "acronym", (fold(short[0]), fold(others[0]))
-        parts = [w for w in folded if w not in TITLES]
+        # "Jack Ma" has no degree: what may be a name stays beside fewer than two other parts
+        titles = TITLES if len([w for w in folded if w not in TITLES]) > 1 else TITLES - DEGREES
+        parts = [w for w in folded if w not in titles]
         long = [w for w in parts if len(w) > 1]
         if not long:
             return ("", ())
         # "KA Smith" writes two initials
         out = []
         for w, o in zip(folded, words):
-            if w in TITLES:
+            if w in titles:
                 continue
             out += list(w) if len(w) == 2 and o.isupper() and len(long) > 1 else [w]
         return "person", (*sorted(w for w in out if len(w) > 1), *(w for w in out if len(w) == 1))
@@ -126,13 +144,13 @@ def _similar(a: str, b: str) -> float:
     return 1 - d / m if d <= lim else 0.0
 
 
-def _given(a: str, b: str) -> float:
+def _given(a: str, b: str, table: Table = NICKNAMES) -> float:
     """Similarity of two given names: short forms and prefixes count as nearly equal."""
     s = _similar(a, b)
     if s >= 0.7:
         return s
     for x, y in ((a, b), (b, a)):
-        for full in NICKNAMES.get(x, ()):
+        for full in table.get(x, ()):
             if _similar(full, y) >= 0.75:
                 return 0.9
         if len(x) >= 3 and y.startswith(x):
@@ -140,8 +158,8 @@ def _given(a: str, b: str) -> float:
     return s
 
 
-def _initials_of(token: str) -> set[str]:
-    return {token[0], *(f[0] for f in NICKNAMES.get(token, ()))}
+def _initials_of(token: str, table: Table = NICKNAMES) -> set[str]:
+    return {token[0], *(f[0] for f in table.get(token, ()))}
 
 
 def monge_elkan(a: list[str], b: list[str]) -> float:
@@ -153,10 +171,10 @@ def monge_elkan(a: list[str], b: list[str]) -> float:
     return min(one, two)
 
 
-def verify(fa: str, pa: list[str], fb: str, pb: list[str]) -> float:
+def verify(fa: str, pa: list[str], fb: str, pb: list[str], table: Table = NICKNAMES) -> float:
     """Similarity of two parsed names, 0 when they cannot be the same."""
     if fa == "person" and fb == "person":
-        return _verify_person(list(pa), list(pb))
+        return _verify_person(list(pa), list(pb), table)
     if fa == fb == "org":
         return _verify_org(list(pa), list(pb))
     if fa == fb == "acronym":
@@ -192,23 +210,27 @@ def _verify_org(a: list[str], b: list[str]) -> float:
     return total / len(a) if edits <= MAX_EDITS else 0.0
 
 
-def _verify_person(a: list[str], b: list[str]) -> float:
+def _verify_person(a: list[str], b: list[str], table: Table = NICKNAMES) -> float:
     la, lb = [t for t in a if len(t) > 1], [t for t in b if len(t) > 1]
     ia, ib = [t for t in a if len(t) == 1], [t for t in b if len(t) == 1]
-    # the family name: the pair of long parts that agrees best, longer parts first
-    pairs = sorted(((_similar(x, y), len(x) + len(y), i, j) for i, x in enumerate(la) for j, y in enumerate(lb)), key=lambda p: (round(p[0], 2) * (p[1] >= 10), p[1]), reverse=True)
-    if not pairs or pairs[0][0] < 0.74 or pairs[0][1] < 8:
+    # the family name: the pair of long parts that agrees best, longer parts first; a pair that agrees enough before others
+    fits = lambda p: p[0] >= (0.74 if p[1] >= 8 else 1.0)
+    pairs = [(_similar(x, y), len(x) + len(y), i, j) for i, x in enumerate(la) for j, y in enumerate(lb)]
+    pairs.sort(key=lambda p: (fits(p), round(p[0], 2) * (p[1] >= 10), p[1]), reverse=True)
+    # a short family name must be equal
+    if not pairs or not fits(pairs[0]):
         return 0.0
     s, _, i, j = pairs[0]
     edits = osa(la[i], lb[j], MAX_EDITS)
     ra, rb = la[:i] + la[i + 1 :], lb[:j] + lb[j + 1 :]
+    given = _given_names(tuple(table.items()))
     # beside initials alone, a given name is no mistyped family name
-    if not (ra and rb) and la[i] != lb[j] and (la[i] in GIVEN) != (lb[j] in GIVEN):
+    if not (ra and rb) and la[i] != lb[j] and (la[i] in given) != (lb[j] in given):
         return 0.0
     total, n = s, 1
     # given names written out on both sides must agree
     while ra and rb:
-        g, x, y = max((_given(x, y), x, y) for x in ra for y in rb)
+        g, x, y = max((_given(x, y, table), x, y) for x in ra for y in rb)
         if g < 0.65:
             return 0.0
         edits += 0 if g == 0.9 else osa(x, y, MAX_EDITS)
@@ -217,8 +239,8 @@ def _verify_person(a: list[str], b: list[str]) -> float:
         total, n = total + g, n + 1
     # what is written out on one side must stand as the next initial on the other
     for names, initials in ((ra, ib), (rb, ia)):
-        for x in sorted(names, key=lambda t: not initials or initials[0] not in _initials_of(t)):
-            if not initials or initials[0] not in _initials_of(x):
+        for x in sorted(names, key=lambda t: not initials or initials[0] not in _initials_of(t, table)):
+            if not initials or initials[0] not in _initials_of(x, table):
                 return 0.0
             initials.pop(0)
             total, n = total + 0.9, n + 1
@@ -281,7 +303,10 @@ def forms(names: DataFrame) -> DataFrame:
             got = [parse(n) for n in pdf["name"]]
             yield pd.DataFrame({"name": pdf["name"], "form": [g[0] for g in got], "parts": [list(g[1]) for g in got]})
 
-    parsed = spread(names).mapInPandas(run, "name string, form string, parts array<string>")
+    # parsing costs more than moving a name
+    spark = names.sparkSession
+    parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parsed = names.repartition(parts).mapInPandas(run, "name string, form string, parts array<string>")
     return parsed.where("form <> ''").withColumn("fid", F.xxhash64("form", F.array_join("parts", " ")))
 
 
@@ -312,7 +337,7 @@ def _within(x: DataFrame, y: DataFrame) -> DataFrame:
     return met.mapInPandas(check, "x string, y string")
 
 
-def traits(form: str, parts: list[str], hot: set[str]) -> list[tuple[str, str, bool, bool]]:
+def traits(form: str, parts: list[str], hot: set[str], table: Table = NICKNAMES) -> list[tuple[str, str, bool, bool]]:
     """(part, trait, asks, answers): what a form that holds the common parts ``hot`` is met by.
 
     Any pair that :func:`verify` accepts has a trait that one side asks for and the
@@ -329,9 +354,9 @@ def traits(form: str, parts: list[str], hot: set[str]) -> list[tuple[str, str, b
             names.remove(p)
             out |= {(p, f"={c}", True, True) for c in initials}
             for g in names:
-                out |= {(p, f"={c}", True, False) for c in _initials_of(g) - initials}
+                out |= {(p, f"={c}", True, False) for c in _initials_of(g, table) - initials}
                 out |= {(p, f"^{g[:3]}", True, True)} if len(g) > 2 else set()
-                out |= {(p, f"~{x}", True, True) for x in (g, *NICKNAMES.get(g, ()))}
+                out |= {(p, f"~{x}", True, True) for x in (g, *table.get(g, ()))}
     elif form == "acronym":
         if parts[1] in hot:
             out.add((parts[1], "@" + "".join(sorted(parts[0])), True, True))
@@ -346,7 +371,7 @@ def traits(form: str, parts: list[str], hot: set[str]) -> list[tuple[str, str, b
     return sorted(out)
 
 
-def _refined(distinct: DataFrame, common: DataFrame) -> DataFrame:
+def _refined(distinct: DataFrame, common: DataFrame, table: Table = NICKNAMES) -> DataFrame:
     """Candidates (a, b), a < b, among forms with parts that equal a common one but for typing errors."""
     held = distinct.select("fid", "form", "parts", F.explode(F.array_distinct("parts")).alias("part"))
     near = _within(common, held.where(F.char_length("part") > 1).select("part").distinct())
@@ -358,7 +383,7 @@ def _refined(distinct: DataFrame, common: DataFrame) -> DataFrame:
         for pdf in batches:
             for at in range(0, len(pdf), 500):
                 piece = pdf.iloc[at : at + 500]
-                rows = [(i, *t) for i, f, ps, hs in zip(piece["fid"], piece["form"], piece["parts"], piece["hot"]) for t in traits(f, list(ps), set(hs))]
+                rows = [(i, *t) for i, f, ps, hs in zip(piece["fid"], piece["form"], piece["parts"], piece["hot"]) for t in traits(f, list(ps), set(hs), table)]
                 yield pd.DataFrame(rows, columns=["fid", "part", "trait", "asks", "answers"])
 
     met = cut_lineage(spread(owners).mapInPandas(run, "fid bigint, part string, trait string, asks boolean, answers boolean"))
@@ -374,18 +399,17 @@ def _refined(distinct: DataFrame, common: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def links(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def links(parsed: DataFrame, threshold: float = THRESHOLD, table: Table = NICKNAMES) -> DataFrame:
     """(a, b, score): verified links a < b between parsed forms."""
     distinct = parsed.groupBy("fid").agg(F.first("form").alias("form"), F.first("parts").alias("parts"))
     distinct = cut_lineage(distinct)
-    held = distinct.select("fid", F.explode(F.array_distinct("parts")).alias("part")).where(F.char_length("part") > 3)
+    held = distinct.select("fid", F.explode(F.array_distinct("parts")).alias("part")).where(F.char_length("part") > 1)
     df = held.groupBy("part").count()
     # parts that tell names apart are keys; common ones are refined, and a form without a key is also compared by all its parts together
     keys = held.join(df.where(F.col("count") <= COMMON).select("part"), "part")
     whole = (
         distinct.join(keys.select("fid").distinct(), "fid", "left_anti")
         .select("fid", F.array_join("parts", " ").alias("part"))
-        .where(F.char_length("part") > 3)
     )
     keys = cut_lineage(keys.select("fid", "part").unionByName(whole))
     bands = _bands(keys.select("part").distinct(), bands_for(), ROWS)
@@ -408,14 +432,14 @@ def links(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    pairs = pairs.unionByName(_refined(distinct, df.where(F.col("count") > COMMON).select("part"))).distinct()
+    pairs = pairs.unionByName(_refined(distinct, df.where(F.col("count") > COMMON).select("part"), table)).distinct()
     both = pairs.join(distinct.select(F.col("fid").alias("a"), F.col("form").alias("fa"), F.col("parts").alias("pa")), "a").join(
         distinct.select(F.col("fid").alias("b"), F.col("form").alias("fb"), F.col("parts").alias("pb")), "b"
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            score = [verify(*r) for r in zip(pdf["fa"], pdf["pa"], pdf["fb"], pdf["pb"])]
+            score = [verify(*r, table) for r in zip(pdf["fa"], pdf["pa"], pdf["fb"], pdf["pb"])]
             out = pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "score": score})
             yield out[out["score"] >= threshold]
 
@@ -457,7 +481,7 @@ def star_clusters(edges: DataFrame, weight: DataFrame) -> DataFrame:
             return done
 
 
-def entities(actors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def entities(actors: DataFrame, threshold: float = THRESHOLD, nicknames: Table = NICKNAMES) -> DataFrame:
     """(name, entity) of every spelling that holds a word; entity is the key of the star's center.
 
     Null names, null lists and null or empty elements are left out, spellings
@@ -466,7 +490,7 @@ def entities(actors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     parsed = cut_lineage(forms(spellings(actors)))
     weight = parsed.groupBy("fid").agg(F.max(F.aggregate("parts", F.lit(0), lambda acc, x: acc + F.when(F.char_length(x) > 1, F.char_length(x)).otherwise(0))).alias("weight"))
-    stars = star_clusters(links(parsed, threshold), weight)
+    stars = star_clusters(links(parsed, threshold, nicknames), weight)
     return parsed.join(stars, "fid", "left").select("name", F.coalesce("center", "fid").alias("entity"))
 
 
