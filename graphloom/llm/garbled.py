@@ -137,15 +137,20 @@ def _single(true: str, read: str):
 
 CHAINS: dict[str, object] = {f"utf8>{c}": _utf8_from(c, 1) for c in UTF8_READ_AS}
 CHAINS |= {f"utf8>{c}*{n}": _utf8_from(c, n) for c in ("cp1252", "latin_1") for n in (2, 3)}
+UTF8_CHAINS = frozenset(CHAINS)
 CHAINS |= {f"{t}>{r}": _single(t, r) for t, r in SINGLE_BYTE}
 BLANKED = "utf8>latin_1>blanked"
-NAMES = [CLEAN, *CHAINS, BLANKED]
+#: bytes that could not be decoded were replaced or left as C1 controls: what they were is lost
+LOSSY = "lossy"
+NAMES = [CLEAN, *CHAINS, BLANKED, LOSSY]
 #: added to the chain of a record whose garbled characters stood as references
 ESCAPED = ">escaped"
 
 
 def repair_token(token: str, chain: str) -> str | None:
     """The token with every non-ASCII run read again under the chain; null when the chain cannot have made it."""
+    if chain == LOSSY:
+        return _HARD.sub("", token) if _HARD.search(token) else None
     if chain == BLANKED:
         # C1 controls were turned into blanks: a lead byte stands alone before a blank
         base = _LEAD_END.sub("", token)
@@ -189,6 +194,7 @@ class CharModel:
     """Bigram model of the tokens with non-ASCII characters, smoothed with unigrams."""
 
     def __init__(self, counts: dict[str, float]):
+        self.terms: dict[str, float] = {}
         self.pair = counts
         self.left: dict[str, float] = defaultdict(float)
         self.right: dict[str, float] = defaultdict(float)
@@ -207,9 +213,12 @@ class CharModel:
         for i in range(len(s) - 1):
             if ord(raw[i]) < 128 and ord(raw[i + 1]) < 128:
                 continue
-            a, b = s[i], s[i + 1]
-            u = (self.right.get(b, 0.0) + 0.3) / (self.total + 0.3 * self.size)
-            out += math.log((self.pair.get(f"{a}|{b}", 0.0) + 2.0 * u) / (self.left.get(a, 0.0) + 2.0))
+            k = f"{s[i]}|{s[i + 1]}"
+            v = self.terms.get(k)
+            if v is None:
+                u = (self.right.get(s[i + 1], 0.0) + 0.3) / (self.total + 0.3 * self.size)
+                v = self.terms[k] = math.log((self.pair.get(k, 0.0) + 2.0 * u) / (self.left.get(s[i], 0.0) + 2.0))
+            out += v
         return out
 
 
@@ -228,54 +237,67 @@ class Reader:
         k = len(NAMES) - 1
         base = {c: (PRIOR_CLEAN if c == CLEAN else (1 - PRIOR_CLEAN) / k) for c in NAMES}
         self.pooled = {c: (pooled.get(c, 0.0) + 50.0 * base[c]) / (n + 50.0) for c in NAMES}
-        self.memo: dict[str, tuple[float, list[tuple[str, float, str]]]] = {}
+        self.memo: dict[str, list[tuple[str, float, str, float]]] = {}
 
     def prior(self, bucket: int, chain: str) -> float:
         own = self.priors.get(bucket, {}).get(chain, 0.0)
         return (own + POOL * self.pooled[chain]) / (self.totals.get(bucket, 0.0) + POOL)
 
-    def readings(self, token: str) -> tuple[float, list[tuple[str, float, str]]]:
-        """(log-likelihood as it stands, [(chain, log-likelihood, repaired)])."""
+    def readings(self, token: str) -> list[tuple[str, float, str, float]]:
+        """[(chain, log evidence for it, repaired token, responsibility)]."""
         got = self.memo.get(token)
         if got is None:
             lp = self.model.token
             plain, literal = unescape(token), unescape(token, True)
             lone = bool(_LEAD_END.search(plain))
             alts = []
+            # UTF-8 makes two or more characters of one, so a run of one character has no such reading
+            single = literal == plain and any(len(m) == 1 and m != "\xa0" for m in _RUN.findall(plain))
+            known: dict[str, float] = {}
             for c in NAMES[1:]:
+                if single and c in UTF8_CHAINS:
+                    continue
                 r = repair_token(plain, c)
                 if r is None and literal != plain:
                     r = repair_token(literal, c)
                 if r is not None:
-                    alts.append((c, lp(r) - _LOST * (lone and c == BLANKED), r))
-            got = lp(plain), alts
+                    if r not in known:
+                        known[r] = lp(r)
+                    alts.append((c, known[r] - _LOST * ((lone and c == BLANKED) or c == LOSSY), r))
+            # what a token says for each chain, and how sure its repair is, once and for all records
+            l0, got = lp(plain), []
+            for c, l1, r in alts:
+                e = PART * math.exp(min(max(l1 - l0, -50.0), 50.0))
+                got.append((c, math.log(1 - PART + e), r, e / (1 - PART + e)))
             if len(self.memo) > 200_000:
                 self.memo.clear()
             self.memo[token] = got
         return got
 
-    def posterior(self, tokens: Counter, bucket: int) -> tuple[dict[str, float], dict[str, dict[str, tuple[str, float]]]]:
-        """Posterior of each chain, and per chain the repaired form and responsibility of the tokens it changes."""
-        gain: dict[str, float] = defaultdict(float)
-        fixes: dict[str, dict[str, tuple[str, float]]] = defaultdict(dict)
+    def posterior(self, tokens: Counter, bucket: int) -> dict[str, float]:
+        """Posterior of each chain of a record."""
+        gain: dict[str, float] = {}
         for t, n in tokens.items():
-            l0, alts = self.readings(t)
-            for c, l1, r in alts:
-                d = min(max(l1 - l0, -50.0), 50.0)
-                gain[c] += n * math.log(1 - PART + PART * math.exp(d))
-                e = PART * math.exp(d)
-                fixes[c][t] = (r, e / (1 - PART + e))
+            for c, g, _, _ in self.readings(t):
+                gain[c] = gain.get(c, 0.0) + n * g
         logs = {CLEAN: math.log(self.prior(bucket, CLEAN))}
         for c, g in gain.items():
             logs[c] = math.log(self.prior(bucket, c)) + g
         top = max(logs.values())
         total = sum(math.exp(v - top) for v in logs.values())
-        return {c: math.exp(v - top) / total for c, v in logs.items()}, fixes
+        return {c: math.exp(v - top) / total for c, v in logs.items()}
+
+    def fixes(self, tokens: Counter, chain: str) -> dict[str, tuple[str, float]]:
+        """Repaired form and responsibility of the tokens that a chain changes."""
+        return {t: (r, w) for t in tokens for c, _, r, w in self.readings(t) if c == chain}
 
 
 def odd_tokens(text: str) -> Counter:
     """The tokens of a text that hold non-ASCII characters or references to them, with their counts."""
-    return Counter(t for t in _TOKEN.findall(text) if not unescape(t).isascii())
+    if text.isascii() and "&" not in text:
+        return Counter()
+    parts = text.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ")
+    return Counter(t for t in parts if t and (not t.isascii() or ("&" in t and not unescape(t).isascii())))
 
 
 def _pass(docs: DataFrame, reader_args, text: str) -> DataFrame:
@@ -298,7 +320,7 @@ def _pass(docs: DataFrame, reader_args, text: str) -> DataFrame:
 
         for pdf in batches:
             for t, bucket in zip(pdf[text], pdf["bucket"]):
-                toks = odd_tokens(t) if t and not unescape(t).isascii() else None
+                toks = odd_tokens(t) if t else None
                 if not toks:
                     chains[bucket, CLEAN] += 1.0
                     continue
@@ -306,17 +328,18 @@ def _pass(docs: DataFrame, reader_args, text: str) -> DataFrame:
                     for k, n in toks.items():
                         add(unescape(k), n)
                     continue
-                post, fixes = reader.posterior(toks, bucket)
+                post = reader.posterior(toks, bucket)
                 for c, p in post.items():
                     if p > 1e-6:
                         chains[bucket, c] += p
                 c = max(post, key=post.get)
+                fixes = reader.fixes(toks, c) if c != CLEAN else {}
                 for k, n in toks.items():
-                    r, w = fixes[c].get(k, (None, 0.0)) if c != CLEAN else (None, 0.0)
+                    r, w = fixes.get(k, (None, 0.0))
                     plain = unescape(k)
                     if not _HARD.search(plain):
                         add(plain, n * (1 - post[c] * w) if r else n)
-                    if r:
+                    if r and c != LOSSY:
                         add(r, n * post[c] * w)
         rows = [("pair", k, 0, n) for k, n in pairs.items()] + [("chain", c, b, n) for (b, c), n in chains.items()]
         yield pd.DataFrame(rows, columns=["kind", "key", "bucket", "n"])
@@ -351,9 +374,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 def diagnose(docs: DataFrame, model=None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Garbled records: key, chain, posterior, restored, complete.
 
-    A record is garbled when the posterior of having a chain is above one half or
-    when it holds replacement characters or C1 controls, which no right decoding
-    leaves, as such or as references. ``restored`` repairs each token by its
+    A record is garbled when the posterior of having a chain is above one half;
+    replacement characters and C1 controls, as such or as references, are evidence
+    of the chain ``lossy``, which restores nothing. ``restored`` repairs each token by its
     responsibility; ``complete`` tells whether no mark of loss remains (replacement
     characters, lone lead bytes). Null and empty texts and ASCII texts without
     references to other characters are never garbled; repeated rows come out
@@ -366,17 +389,18 @@ def diagnose(docs: DataFrame, model=None, key: str = "doc_id", text: str = "text
         for pdf in batches:
             rows = []
             for k, t, bucket in zip(pdf[key], pdf[text], pdf["bucket"]):
-                if not t or (plain := unescape(t)).isascii():
+                toks = odd_tokens(t) if t else None
+                if not toks:
                     continue
-                hard = bool(_HARD.search(plain))
-                post, fixes = reader.posterior(odd_tokens(t), bucket)
-                bad = 1.0 - post.get(CLEAN, 0.0)
-                if bad <= 0.5 and not hard:
+                post = reader.posterior(toks, bucket)
+                bad = 1.0 - post[CLEAN]
+                if bad <= 0.5:
                     continue
-                c = max((x for x in post if x != CLEAN), key=post.get, default=None) if bad > 0.5 else None
-                fixed, lost = t, 0
-                if c:
-                    by = fixes[c]
+                # a chain that repairs something goes before the one that only knows of a loss
+                c = max((x for x in post if x not in (CLEAN, LOSSY) and post[x] > post[CLEAN]), key=post.get, default=LOSSY)
+                fixed, lost = t, c == LOSSY
+                if c != LOSSY:
+                    by = reader.fixes(toks, c)
                     fixed = _TOKEN.sub(lambda m: by[m.group()][0] if m.group() in by and by[m.group()][1] > 0.5 else m.group(), t)
                     lost = c == BLANKED
                     if any(w > 0.5 and unescape(x) != x for x, (_, w) in by.items()):
