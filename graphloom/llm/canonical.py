@@ -7,6 +7,7 @@ settle go to token-set similarity, where tokens may differ by typing errors.
 
 from __future__ import annotations
 
+import bisect
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -20,12 +21,13 @@ from pyspark.sql import functions as F
 from graphloom.runtime import blank, spread
 
 UNMATCHED = "UNMATCHED"
-#: reference lists travel to the workers; a larger list must be split by list name first
-MAX_ENTRIES = 20_000
+#: entries of all lists that travel to the workers, about half a kilobyte each
+MAX_ENTRIES = 200_000
 #: least token-set similarity
 THRESHOLD = 0.66
 
-#: further ways to say an entry, beside the list's own aliases (a parameter; plain English paraphrases)
+#: further ways to say an entry, beside the list's own aliases: a table argument of :func:`assign`, here plain English paraphrases for
+#: the two lists of the data model. Another list needs its own table or none; names, aliases and their inflections work without.
 LEXICON: dict[str, dict[str, tuple[str, ...]]] = {
     "relationship_type": {
         "Influences": ("influence", "influencing", "does influence", "influence on", "influences on", "has an influence on", "affects", "impacts", "has an effect on", "inspires", "shape", "shaping"),
@@ -81,6 +83,24 @@ def tokens(value: str) -> list[str]:
     return re.findall(r"[^\W_]+", s.lower())
 
 
+_AUXILIARY = frozenset("is are was were be been being has have had do does did".split())
+
+
+def stem(token: str) -> str:
+    """An English verb or noun without its inflection, by its ending alone."""
+    for end, least in (("ying", 2), ("ies", 2), ("ied", 2), ("ing", 3), ("ed", 3), ("es", 3), ("s", 3), ("e", 3), ("y", 3)):
+        if token.endswith(end) and len(token) - len(end) >= least and not token.endswith("ss"):
+            out = token[: -len(end)]
+            # a doubled consonant before the ending: planning, stopped
+            return out[:-1] if len(out) > 3 and out[-1] == out[-2] and out[-1] not in "aeiouls" and end in ("ing", "ed") else out
+    return token
+
+
+def stems(toks: list[str]) -> str:
+    """Key under which inflections of a phrase meet: stems without auxiliary verbs."""
+    return " ".join(stem(t) for t in toks if t not in _AUXILIARY)
+
+
 def osa(a: str, b: str, limit: int) -> int:
     """Edits with transpositions between two strings, limit + 1 when more than ``limit``."""
     la, lb = len(a), len(b)
@@ -144,6 +164,21 @@ class Matcher:
         for i, n in enumerate(self.names):
             self.exact.setdefault(n, self.owner[i])
         self.bags = np.array([_bag(n) for n in self.names]) if self.names else np.zeros((0, 37), np.int16)
+        # phrases by token: a value is compared with those that hold enough tokens like its own
+        self.holders: dict[str, list[int]] = {}
+        for i, p in enumerate(self.parts):
+            for t in set(p):
+                self.holders.setdefault(t, []).append(i)
+        self.vocab = list(self.holders)
+        self.token_bags = np.array([_bag(t) for t in self.vocab]) if self.vocab else np.zeros((0, 37), np.int16)
+        self.token_size = self.token_bags.sum(1)
+        self.near_memo: dict[str, list[str]] = {}
+        self.stemmed: dict[str, int] = {}
+        for i, p in enumerate(self.parts):
+            if self.owner[i] not in self.strict and (k := stems(p)):
+                # a stem of two entries settles nothing
+                self.stemmed[k] = self.owner[i] if self.stemmed.get(k, self.owner[i]) == self.owner[i] else -1
+        self.whole = sorted(("".join(tokens(e)), i) for i, e in enumerate(self.entries))
         self.memo: dict[str, str] = {}
 
     def mention(self, toks: list[str]) -> int | None:
@@ -191,6 +226,33 @@ class Matcher:
                 total += best
         return 2 * total / (len(a) + len(b))
 
+    def near(self, token: str) -> list[str]:
+        """Tokens of the list that may meet a token in :meth:`token_set`."""
+        got = self.near_memo.get(token)
+        if got is None:
+            diff = self.token_bags - _bag(token)
+            bound = np.maximum(np.maximum(diff, 0).sum(1), np.maximum(-diff, 0).sum(1))
+            some = np.flatnonzero(bound <= (0.3 * np.maximum(self.token_size, len(token))).astype(int))
+            got = []
+            for i in some:
+                t = self.vocab[i]
+                lim = int(0.3 * max(len(t), len(token)))
+                if t == token or osa(token, t, lim) <= lim:
+                    got.append(t)
+            if len(self.near_memo) > 100_000:
+                self.near_memo.clear()
+            self.near_memo[token] = got
+        return got
+
+    def like(self, toks: list[str], least: float) -> list[int]:
+        """Phrases of two or more tokens whose token-set similarity with the value can reach ``least``."""
+        held: dict[int, int] = {}
+        mine = list(dict.fromkeys(toks))
+        for x in mine:
+            for i in {i for t in self.near(x) for i in self.holders[t]}:
+                held[i] = held.get(i, 0) + 1
+        return sorted(i for i, n in held.items() if len(self.parts[i]) > 1 and 2 * n >= least * (len(mine) + len(set(self.parts[i]))) - 1e-9)
+
     def similar(self, toks: list[str]) -> int | None:
         """Entry of the most similar phrase at or above the threshold; a tie between entries stays unmatched."""
         s = "".join(toks)
@@ -218,8 +280,8 @@ class Matcher:
                 o = self.owner[i]
                 scores[o] = max(scores.get(o, 0.0), score)
         if len(toks) > 1:
-            for i, p in enumerate(self.parts):
-                if len(p) > 1 and self.owner[i] not in self.strict and (sc := self.token_set(toks, i)) >= 0.8:
+            for i in self.like(toks, 0.8):
+                if self.owner[i] not in self.strict and (sc := self.token_set(toks, i)) >= 0.8:
                     o = self.owner[i]
                     scores[o] = max(scores.get(o, 0.0), sc)
         if not scores:
@@ -230,11 +292,12 @@ class Matcher:
         return ranked[0][0]
 
     def shortened(self, value: str, toks: list[str]) -> int | None:
-        """Entry whose name alone begins with a shortened single word such as ``conf.``."""
+        """Entry whose name alone a single token shortens, such as ``conf.``; such a token counts as equal to the name."""
         if len(toks) != 1 or len(toks[0]) < (3 if value.rstrip().endswith(".") else 4):
             return None
-        owners = {i for i, e in enumerate(self.entries) if "".join(tokens(e)).startswith(toks[0])}
-        return owners.pop() if len(owners) == 1 else None
+        lo = bisect.bisect_left(self.whole, (toks[0],))
+        hit = [i for name, i in self.whole[lo : lo + 2] if name.startswith(toks[0])]
+        return hit[0] if len(hit) == 1 else None
 
     def resolve(self, value: str) -> str:
         got = self.memo.get(value)
@@ -247,6 +310,9 @@ class Matcher:
                 o = self.shortened(value, toks)
             if o is None:
                 o = self.similar(toks)
+            if o is None:
+                o = self.stemmed.get(stems(toks))
+                o = None if o == -1 else o
             got = UNMATCHED if o is None else self.entries[o]
             if len(self.memo) > 100_000:
                 self.memo.clear()
@@ -267,10 +333,9 @@ def build_matchers(rows: list[tuple[str, str, list[str] | None]], lexicon=LEXICO
         entries = list(by)
         parts, owner = [], []
         for i, e in enumerate(entries):
-            for p in by[e]:
-                t = tokens(p)
-                if t and t not in (parts[j] for j in range(len(parts)) if owner[j] == i):
-                    parts.append(t)
+            for t in dict.fromkeys(tuple(tokens(p)) for p in by[e]):
+                if t:
+                    parts.append(list(t))
                     owner.append(i)
         strict = frozenset(i for i, e in enumerate(entries) if e.lower() == "other")
         out[name] = Matcher(entries, ["".join(p) for p in parts], parts, owner, strict)
@@ -288,7 +353,7 @@ def assign(values: DataFrame, canonical: DataFrame, keys: list[str], list_name:
     """
     head = canonical.select("list_name", "entry", "also_called").limit(MAX_ENTRIES + 1).collect()
     if len(head) > MAX_ENTRIES:
-        raise ValueError(f"a reference list of more than {MAX_ENTRIES} entries must be split by list_name")
+        raise ValueError(f"reference lists of more than {MAX_ENTRIES} entries in all must be assigned list by list")
     rows = [(r[0], r[1], r[2]) for r in head]
     known = {}
     for n, e, _ in rows:
