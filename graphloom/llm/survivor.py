@@ -52,6 +52,10 @@ def usable(c) -> F.Column:
     )
 
 
+#: trust of one rank of an account; more than the sum of all other bundles (10 a filled field, at most 7 for the rest, of each)
+ACCOUNT = 1000.0
+
+
 @dataclass(frozen=True)
 class Bundle:
     """Dependent fields that must come from one row; ``text`` is the field judged by :func:`usable`, if any."""
@@ -67,34 +71,34 @@ class Bundle:
 SCHEMES: dict[str, tuple[tuple[Bundle, ...], tuple[tuple[str, str, str, str], ...]]] = {
     "actors": (
         (
-            Bundle("account", ("description", "supporting_text", "source_chunk"), "description"),
+            Bundle("account", ("description", "supporting_text", "source_chunk"), "description", linked=("type",)),
             Bundle("kind", ("type",), linked=("type",)),
             Bundle("office", ("role", "expertise"), linked=("role",)),
             Bundle("place", ("country",), linked=("country",)),
             Bundle("naming", ("name", "affiliations")),
         ),
-        (("kind", "type", "office", "role"), ("office", "role", "place", "country")),
+        (("account", "type", "kind", "type"), ("kind", "type", "office", "role"), ("office", "role", "place", "country")),
     ),
     "concepts": (
         (
-            Bundle("account", ("definition", "source_chunk"), "definition"),
+            Bundle("account", ("definition", "source_chunk"), "definition", linked=("parent_concept_id",)),
             Bundle("naming", ("name", "alternative_names")),
             Bundle("tree", ("parent_concept_id",), linked=("parent_concept_id",)),
             Bundle("field", ("domain",)),
             Bundle("weight", ("significance",), linked=("significance",)),
         ),
-        (("tree", "parent_concept_id", "weight", "significance"),),
+        (("account", "parent_concept_id", "tree", "parent_concept_id"), ("tree", "parent_concept_id", "weight", "significance")),
     ),
     "event_records": (
         (
-            Bundle("account", ("description", "source_chunk"), "description"),
+            Bundle("account", ("description", "source_chunk"), "description", linked=("type",)),
             Bundle("naming", ("title",)),
             Bundle("time", ("year", "start_date", "end_date"), linked=("year",)),
             Bundle("kind", ("type",), linked=("type",)),
             Bundle("setting", ("locations", "tags")),
             Bundle("weight", ("significance",)),
         ),
-        (("time", "year", "kind", "type"),),
+        (("account", "type", "kind", "type"), ("time", "year", "kind", "type")),
     ),
 }
 
@@ -167,12 +171,15 @@ def branch_and_bound(options: list[list[tuple[float, str, int]]], allowed) -> li
 def choose(df: DataFrame, table: str) -> DataFrame:
     """For each id with two or more rows, the row each bundle comes from: id, bundle, rec_id.
 
-    An account (description, definition) never depends on another bundle: among
-    usable texts reviewed rows come first, then the latest revised_at (null is
-    oldest), then the smaller rec_id; without a usable text it is absent. The
-    trust of another bundle is its filled fields, review, recency rank and votes.
-    Two linked values go together when some row of the id holds both. Null ids
-    are left out, tables may be empty, extra columns are ignored.
+    The search maximises the total trust of whole bundles. Of an account
+    (description, definition) only usable texts are options, and its trust is the
+    rank among them by review, then the latest revised_at (null is oldest), then
+    the smaller rec_id, times ACCOUNT, more than all other bundles can bring: so
+    the account of the choice is the best one, and the bundles that depend on it
+    follow. Without a usable text it is absent. The trust of another bundle is its
+    filled fields, review, recency rank and votes. Two linked values go together
+    when some row of the id holds both, or an account's row leaves its own null. Null ids are left out, tables may be
+    empty, extra columns are ignored.
     """
     bundles, links = SCHEMES[table]
     names = [b.name for b in bundles]
@@ -207,14 +214,18 @@ def choose(df: DataFrame, table: str) -> DataFrame:
                     opts = sorted(by[n], key=lambda o: (o["filled"], o["reviewed"], o["at"], -o["rec_id"]), reverse=True)
                     top = len(opts)
                     # rank by the trust order; an extra row that agrees counts for a little
-                    scored = [(10.0 * o["filled"] + 5.0 * bool(o["reviewed"]) + (top - r) / top + 0.1 * min(o["votes"], 9), o["link"], o["rec_id"]) for r, o in enumerate(opts)]
                     if at[n].text is None:
+                        scored = [(10.0 * o["filled"] + 5.0 * bool(o["reviewed"]) + (top - r) / top + 0.1 * min(o["votes"], 9), o["link"], o["rec_id"]) for r, o in enumerate(opts)]
                         scored.sort(key=lambda s: -s[0])
+                    else:
+                        scored = [(ACCOUNT * (top - r), o["link"], o["rec_id"]) for r, o in enumerate(opts)]
                     choice.append(scored)
 
                 def allowed(j: int, a: str, i: int, b: str) -> bool:
                     p = f"{names[j]}|{names[i]}"
-                    return p not in linked or (p, a, b) in held
+                    # an account whose row does not fill the linked field binds nothing
+                    free = at[names[j]].text is not None and a.endswith(":null}")
+                    return p not in linked or free or (p, a, b) in held
 
                 out += [(ident, n, c[2]) for n, c in zip(names, branch_and_bound(choice, allowed)) if c is not None]
             yield pd.DataFrame(out, columns=["id", "bundle", "rec_id"])
