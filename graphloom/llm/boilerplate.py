@@ -1,12 +1,20 @@
 """Problem 3: the article of a web page without its furniture.
 
-Method: site style tree. The pages of a host are merged into one tree: zone of
-the page (before or after the headline), style of a line (path, tags, list item,
-title-like, sentence), and below it the content nodes, the parts of a line.
-A content node that n of the host's m pages hold has the entropy log_m n over
-them and the importance 1 - log_m n. Presentation nodes whose content is always
-furniture (the zone above the headline, link paths, tag rows, headlines of other
-pages) have importance 0. Lines of low mean importance are removed.
+Method: site style tree. The pages of a host are merged into one tree. Its
+presentation nodes are the zone of the page (above the headline or below), the
+branches below it (runs of lines between sentences and list sentences, which are
+boxes where a site draws them), and the style of a line (path, tags, list item, row,
+title-like, sentence); its leaves are the content nodes, the parts of a line.
+
+A content node that n of the host's m pages hold has the entropy log_m n over them
+and the importance 1 - log_m n; beyond WIDE pages the share of the pages alone
+counts, so a large site is judged alike at any size. A branch holds what its site
+repeats in its least important line, the head or foot of a box, and a title-like
+line, which names a page, is as important as its branch at most. A style that presents
+links (path, tags, row, title) has the importance of its content: the share of its
+content nodes that no other page holds, by which that of its lines is multiplied. A label before a
+colon, the parts of a path and each tag are nodes of their own; the page's own
+headline in a path says nothing new. Lines of low importance are removed.
 
 A short line between two removed lines, or above headlines of other pages or
 tags, heads or belongs to a box and needs a higher importance to stay.
@@ -27,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.runtime import spread
+from graphloom.runtime import cut_lineage, spread
 
 #: hosts with fewer pages are merged into one tree
 MIN_PAGES = 8
@@ -42,6 +50,13 @@ BOXED = 0.75
 #: a title-like line of so many words that is not the page's own headline names another page
 TITLE_WORDS = 5
 
+#: pages from which on the importance of a node depends on its share of the pages alone
+WIDE = 2400
+#: styles by which pages present links and lists of words; their lines weigh by the style's importance too
+PRESENTED = ("path", "tags", "row", "title")
+#: most words of a label before a colon
+LABEL_WORDS = 3
+
 _WORD = re.compile(r"[^\W_]+")
 _MARK = re.compile(r"([-*•◦▪‣+]|\d{1,3}[.)])\s+")
 _SENTENCE = re.compile(r"(?<=[.!?…。！？])[\"'’”»)]*\s+")
@@ -103,12 +118,20 @@ def style(line: str, title: str | None) -> str:
     return "title" if len(words) >= TITLE_WORDS else "short"
 
 
-def parts_of(line: str, kind: str) -> list[str]:
-    """Content nodes of a line: sentences, members of a row, or the line itself."""
+def parts_of(line: str, kind: str, title: str | None = None) -> list[str]:
+    """Content nodes of a line: sentences, members of a row, path or tag list, a title's label, or the line itself."""
     s = _MARK.sub("", line.strip(), count=1) if kind in ("item", "link") else line.strip()
+    if kind == "tags":
+        return s.split()
+    if kind == "title":
+        label, colon, rest = s.partition(": ")
+        return [label + ":"] if colon and rest.strip() and len(label.split()) <= LABEL_WORDS else [s]
     out = []
     for seg in _PARTS.split(s) if kind in ("row", "path", "short", "sentence") else [s]:
         out += [p for p in _SENTENCE.split(seg) if p.strip()]
+    if kind == "path":
+        own = (title or "").strip()
+        out = [p for p in out if p.strip() not in own and own not in p] or out
     return out or [s]
 
 
@@ -124,7 +147,7 @@ def _lines(web: DataFrame, frequent: frozenset[str]) -> DataFrame:
                     if not ln.strip():
                         continue
                     kind = style(ln, title)
-                    names = [node_name(p, site, frequent) for p in parts_of(ln, kind)]
+                    names = [node_name(p, site, frequent) for p in parts_of(ln, kind, title)]
                     rows.append((cid, i, ix, host, src or f"chunk {cid}", kind, at, names))
             yield pd.DataFrame(rows, columns=["chunk_id", "line_no", "chunk_ix", "host", "page", "kind", "headline_at", "nodes"])
 
@@ -161,7 +184,7 @@ def importance(lines: DataFrame) -> DataFrame:
     per_tree = (
         held.join(tree.select("host", "tree"), "host").groupBy("node", "tree").agg(F.sum("n").alias("n")).join(size, "tree").where("m >= 4")
     )
-    imp = 1 - F.log("n") / F.log("m")
+    imp = F.least(F.lit(1.0), F.log(F.col("m") / F.col("n")) / F.log(F.least("m", F.lit(WIDE))))
     return (
         per_tree.groupBy("node")
         .agg((F.sum(F.col("m") * imp) / F.sum("m")).alias("importance"), F.max("n").alias("most"))
@@ -185,16 +208,31 @@ def judge(chunks: DataFrame) -> DataFrame:
     words = web.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), F.lower))).alias("w"))
     # at most (mean distinct words of a chunk) / FREQUENT words
     frequent = frozenset(r[0] for r in words.groupBy("w").count().where(F.col("count") >= max(MIN_CHUNKS, FREQUENT * n)).select("w").collect())
-    lines = _lines(web, frequent)
+    # the pages are read once
+    lines = cut_lineage(_lines(web, frequent))
     nodes = importance(lines.join(distinct_pages(web), "page", "left_semi"))
     top = lines.where("headline_at > 0").groupBy("page").agg(F.min("chunk_ix").alias("headline_ix"))
     scored = (
         lines.select("chunk_id", "line_no", "chunk_ix", "page", "kind", "headline_at", F.exists("nodes", lambda x: x.contains("<s>")).alias("named"), F.explode("nodes").alias("node"))
         .join(nodes, "node", "left")
         .groupBy("chunk_id", "line_no", "chunk_ix", "page", "kind", "headline_at", "named")
-        .agg(F.avg(F.coalesce("importance", F.lit(1.0))).alias("importance"))
+        .agg(F.avg(F.coalesce("importance", F.lit(1.0))).alias("importance"), F.count("*").alias("n"), F.count_if(F.col("importance").isNull()).alias("alone"))
         .join(top, "page", "left")
     )
+    scored = cut_lineage(scored)
+    # a style is as important as the share of its content nodes that one page alone holds; one row a style
+    styles = {r[0]: r[1] for r in scored.groupBy("kind").agg(F.sum("alone") / F.sum("n")).collect()}
+    weight = F.lit(1.0)
+    for k in PRESENTED:
+        weight = F.when(F.col("kind") == k, F.lit(float(styles.get(k, 1.0)))).otherwise(weight)
+    # neighbours within the chunk, which is bounded
+    w = Window.partitionBy("chunk_id").orderBy("line_no")
+    core = F.col("kind").isin("sentence", "item", "headline")
+    scored = scored.withColumn("branch", F.sum(core.cast("int")).over(w))
+    in_branch = Window.partitionBy("chunk_id", "branch")
+    # a title-like line by itself is no list of links
+    alone = (F.col("kind") == "title") & (F.count_if(~core).over(in_branch) == 1)
+    scored = scored.withColumn("importance", F.col("importance") * F.when(alone, 1.0).otherwise(weight))
     above = F.coalesce(
         (F.col("chunk_ix") < F.col("headline_ix"))
         | ((F.col("chunk_ix") == F.col("headline_ix")) & (F.col("line_no") < F.col("headline_at"))),
@@ -202,10 +240,10 @@ def judge(chunks: DataFrame) -> DataFrame:
     )
     least = F.when(F.col("named"), NAMED).when(F.col("kind").isin("sentence", "item"), LONG).otherwise(SHORT)
     low = F.col("importance") < least
-    furniture = F.when(F.col("kind") == "headline", False).otherwise(above | F.col("kind").isin("path", "tags", "title", "row") | low)
-    first = scored.select("chunk_id", "line_no", "kind", "importance", furniture.alias("furniture"))
-    # neighbours within the chunk, which is bounded
-    w = Window.partitionBy("chunk_id").orderBy("line_no")
+    placed = scored.select("chunk_id", "line_no", "kind", "importance", above.alias("above"), low.alias("low"), "branch")
+    box = F.max(F.col("low") & ~core).over(in_branch)
+    furniture = F.when(F.col("kind") == "headline", False).otherwise(F.col("above") | F.col("low") | ((F.col("kind") == "title") & box))
+    first = placed.select("chunk_id", "line_no", "kind", "importance", furniture.alias("furniture"))
     before, after, next_kind = F.lag("furniture").over(w), F.lead("furniture").over(w), F.lead("kind").over(w)
     among = (F.coalesce(before, after) & F.coalesce(after, before)) | next_kind.isin("title", "tags")
     boxed = F.col("kind").isin("short", "link") & (F.col("importance") < BOXED) & F.coalesce(F.col("among"), F.lit(False))
