@@ -48,7 +48,7 @@ def update(tasks: DataFrame, updates: DataFrame) -> DataFrame:
     """Tasks after updates (task_id, corrected, notes, reviewed_at): updated ones become reviewed.
 
     Several updates of a task: the latest counts (ties by the corrected text). An
-    update of an unknown task changes nothing. A task may be reviewed again.
+    update of an unknown task changes nothing (see :func:`unknown_updates`). A task may be reviewed again.
     """
     last = updates.groupBy("task_id").agg(F.max_by(F.struct("corrected", "notes", "reviewed_at"), F.struct("reviewed_at", "corrected")).alias("u"))
     hit = F.col("u").isNotNull()
@@ -63,6 +63,12 @@ def update(tasks: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
+def unknown_updates(tasks: DataFrame, updates: DataFrame) -> DataFrame:
+    """The updates whose task does not exist, the latest of each task; :func:`update` leaves them out."""
+    last = updates.groupBy("task_id").agg(F.max_by(F.struct("corrected", "notes", "reviewed_at"), F.struct("reviewed_at", "corrected")).alias("u"))
+    return last.join(tasks.select("task_id"), "task_id", "left_anti").select("task_id", "u.*")
+
+
 def corrections(tasks: DataFrame) -> DataFrame:
     """(task_id, original, corrected) of reviewed tasks; the corrected data default to the original."""
     return by_status(tasks, "reviewed").select("task_id", F.col("extracted").alias("original"), F.coalesce("corrected", "extracted").alias("corrected"))

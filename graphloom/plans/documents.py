@@ -100,6 +100,15 @@ def chunk_selection(spark, d):
     return S.select_chunks(_chunks(spark, d), between=(1, 2)).select("chunk_id", "chunk_ix")
 
 
+def chunk_by_index(spark, d):
+    return S.select_chunks(_chunks(spark, d), index=1).select("chunk_id", "chunk_ix")
+
+
+def first_chunks(spark, d):
+    """The first seven chunks by id (the feature is a limit)."""
+    return S.select_chunks(_chunks(spark, d), first=7, ix="chunk_id").select("chunk_id", "chunk_ix")
+
+
 def markdown_export(spark, d):
     docs = _docs(spark, d).select(
         "doc_id", F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title"), F.create_map(F.lit("lang"), F.coalesce("lang", F.lit("")), F.lit("source"), F.coalesce("source", F.lit(""))).alias("metadata"), "text"
@@ -117,8 +126,8 @@ def year_events(spark, d):
 
 
 def keyword_context(spark, d):
-    out = H.organisation_hits(_docs(spark, d), key="doc_id", indicators=("council", "ministry", "network", "report"))
-    return out.select("doc_id", "indicator", F.md5(F.col("context").cast("binary")).alias("context"))
+    out = H.organisation_hits(_docs(spark, d), key="doc_id", indicators=(*H.ORGANISATION_WORDS, "council", "ministry", "network", "report"))
+    return out.select("doc_id", "indicator", "name", F.md5(F.col("context").cast("binary")).alias("context"))
 
 
 def first_entities(spark, d):
@@ -150,7 +159,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         source_kind, text_scan, html_text, section_split_upper, section_split_colon, chunk_documents, chunk_stats, doc_metadata, chunk_frame, token_stats, char_stats, section_counts,
-        length_histogram, chunk_selection, markdown_export, mention_counts, year_events, keyword_context, first_entities, example_hits, tfidf_phrases, value_counts, typed_csv,
+        length_histogram, chunk_selection, chunk_by_index, first_chunks, markdown_export, mention_counts, year_events, keyword_context, first_entities, example_hits, tfidf_phrases, value_counts, typed_csv,
     )
 }
 
@@ -243,11 +252,14 @@ SELECT doc_id, ty AS title, md5(body) AS digest, length(body) AS n FROM t""",
     "length_histogram": "WITH n AS (SELECT length(text) AS n FROM chunks WHERE text IS NOT NULL), s AS (SELECT min(n) AS lo, greatest((max(n) - min(n)) / 20.0::double, 1e-9::double) AS w FROM n),"
     " b AS (SELECT least(floor((n - lo) / w), 19)::bigint AS bin, lo, w FROM n, s) SELECT bin, round(min(lo + w * bin), 6) AS low, count(*) AS n FROM b GROUP BY bin",
     "chunk_selection": "SELECT chunk_id, chunk_ix FROM chunks WHERE chunk_ix BETWEEN 1 AND 2",
+    "chunk_by_index": "SELECT chunk_id, chunk_ix FROM chunks WHERE chunk_ix = 1",
+    "first_chunks": "SELECT chunk_id, chunk_ix FROM chunks ORDER BY chunk_id LIMIT 7",
     "markdown_export": "SELECT doc_id, md5('# Document ' || doc_id || chr(10) || chr(10) || '## Metadata' || chr(10) || chr(10) || '- **lang**: ' || coalesce(lang, '') || chr(10) || '- **source**: ' || coalesce(source, '')"
     " || chr(10) || chr(10) || '## Content' || chr(10) || chr(10) || coalesce(text, '')) AS digest FROM documents",
     "mention_counts": f"SELECT kind, mention, count(*) AS n FROM ({' UNION ALL '.join(_mention(k) for k in H.MENTION_PATTERNS)}) m GROUP BY 1, 2 HAVING count(*) >= 2",
     "year_events": f"WITH {_YEARS} SELECT doc_id, hit, year, title, md5(context) AS context FROM yt",
-    "keyword_context": "SELECT doc_id, indicator, md5(ctx) AS context FROM (" + _ORG.format("'council', 'ministry', 'network', 'report'") + ") z",
+    "keyword_context": r"SELECT doc_id, indicator, coalesce(nullif(regexp_extract(ctx, '((?:[A-Z][\p{L}]*\s+){1,4}(?:University|Institute|Organization|Association|Society|Foundation))', 1), ''), 'Unknown Organization') AS name, md5(ctx) AS context FROM ("
+    + _ORG.format(", ".join(f"'{x}'" for x in (*H.ORGANISATION_WORDS, "council", "ministry", "network", "report"))) + ") z",
     "first_entities": f"WITH {_YEARS} SELECT title, year, doc_id, hit FROM (SELECT *, row_number() OVER (PARTITION BY title, year ORDER BY doc_id, hit) AS r FROM yt) z WHERE r = 1",
     "example_hits": "SELECT doc_id, indicator FROM (" + _ORG.format("'council', 'ministry'") + ") z ORDER BY doc_id, indicator LIMIT 10",
     "tfidf_phrases": rf"""

@@ -102,10 +102,6 @@ def auto_entities(spark, d):
     return made.select("id", "name_key", "auto_created_from_relationship", "significance", "definition")
 
 
-def resolve_exact_mode(spark, d):
-    return R.resolve_exact_mode(_rels(spark, d), _known(spark, d))
-
-
 def _vertices(spark, d):
     """One vertex per id over the five record tables."""
     spec = {"actors": ("Actor", "name", "description"), "event_records": ("Event", "title", "description"), "concepts": ("Concept", "name", "definition"), "publications": ("Publication", "title", "abstract"), "locations": ("Location", "name", "description")}
@@ -156,6 +152,16 @@ def theta_pairs(spark, d):
     return out.select("n_name", "m_name")
 
 
+def theta_below(spark, d):
+    """Nations and the regions of a higher key: a join by inequality alone, whose right side is small."""
+    n = read(spark, d, "nation").select("n_name", "n_regionkey")
+    return G.theta_pairs(n, read(spark, d, "region").select("r_regionkey", "r_name"), F.col("n_regionkey") < F.col("r_regionkey")).select("n_name", "r_name")
+
+
+def title_years(spark, d):
+    return read(spark, d, "publications").select("rec_id", X.year_in("title").alias("in_title"), X.year_in("abstract").alias("in_abstract"))
+
+
 def extraction_stats(spark, d):
     return _vertices(spark, d).groupBy(F.lower("label").alias("kind")).agg(F.count("*").alias("n"))
 
@@ -168,7 +174,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         normalize_name, name_similarity, exact_lookup, fuzzy_best_match, resolve_entities, resolve_events, dedup_edges, required_endpoints, confidence_filter, resolve_relationships, auto_entities,
-        resolve_exact_mode, enrich_edges, pattern_hop, path_trails, earliest_follow, theta_pairs, extraction_stats, type_filter,
+        enrich_edges, pattern_hop, path_trails, earliest_follow, theta_pairs, theta_below, title_years, extraction_stats, type_filter,
     )
 }
 
@@ -260,6 +266,8 @@ w AS (SELECT id AS start, id AS at_node, [-1::bigint] AS used, id AS path, 0 AS
   UNION ALL SELECT start, target, list_append(used, rel_id), path || '>' || target, hops + 1 FROM w JOIN e ON e.source = at_node WHERE ty IN ('Precedes', 'Influences') AND hops < 3 AND NOT list_contains(used, rel_id))
 SELECT start, at_node AS "end", hops, path, target AS reached FROM w JOIN e ON e.source = at_node WHERE hops > 0 AND ty IN ('References', 'IsLocatedIn', 'Influences') ORDER BY path, reached LIMIT 10""",
     "theta_pairs": "SELECT a.n_name, b.n_name AS m_name FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_name < b.n_name",
+    "theta_below": "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey < r_regionkey",
+    "title_years": r"SELECT rec_id, try_cast(nullif(regexp_extract(title, '\b(19|20)\d{2}\b', 0), '') AS int) AS in_title, try_cast(nullif(regexp_extract(abstract, '\b(19|20)\d{2}\b', 0), '') AS int) AS in_abstract FROM publications",
     "extraction_stats": f"SELECT lower(label) AS kind, count(*) AS n FROM ({_V}) v GROUP BY 1",
     "type_filter": f"SELECT id, label FROM ({_V}) v WHERE label IN ('Actor', 'Concept')",
 }

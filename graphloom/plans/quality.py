@@ -9,6 +9,7 @@ from graphloom.operators import extraction as E
 from graphloom.operators import quality as Q
 from graphloom.operators import review as V
 from graphloom.operators import validate as W
+from graphloom.plans.entities import _V, _vertices
 from graphloom.runtime import read
 
 
@@ -18,9 +19,9 @@ def _level():
 
 
 def evaluations(spark, d):
-    """Evaluations of actors and concepts, derived from their own fields (there is no model here)."""
+    """Evaluations of actors, concepts, events and relationships, derived from their own fields (there is no model here)."""
     out = None
-    for t, kind in (("actors", "actor"), ("concepts", "concept")):
+    for t, kind in (("actors", "actor"), ("concepts", "concept"), ("event_records", "event")):
         df = read(spark, d, t)
         sev = F.pmod(F.col("rec_id"), F.lit(6)).cast("int")
         part = df.select(
@@ -65,13 +66,15 @@ def high_priority(spark, d):
 
 
 def edge_context(spark, d):
-    ents = read(spark, d, "actors").where("id IS NOT NULL").groupBy("id").agg(F.min_by("name", "rec_id").alias("name"))
+    ents = _vertices(spark, d).select("id", "name")
     e = read(spark, d, "relationships").select("rel_id", F.col("source").alias("source_id"), F.col("target").alias("target_id"))
     return Q.edge_context(e, ents).select("rel_id", "source_name", "target_name")
 
 
 def supporting_chunk(spark, d):
-    ch = read(spark, d, "chunks").select(F.lit(None).cast("int").alias("chunk_ix"), "chunk_id", "text")
+    # every other chunk has an index, which goes before the id
+    ix = F.when(F.pmod("chunk_id", F.lit(2)) == 0, F.col("chunk_id") + 1)
+    ch = read(spark, d, "chunks").select(ix.alias("chunk_ix"), "chunk_id", "text")
     out = Q.supporting_chunk(read(spark, d, "event_records").select("rec_id", "source_chunk"), ch)
     return out.select("rec_id", F.md5(F.coalesce("chunk_text", F.lit("")).cast("binary")).alias("digest"))
 
@@ -117,6 +120,11 @@ def review_upsert(spark, d):
     return V.update(V.with_defaults(_tasks(spark, d)), _updates(spark, d)).select("task_id", "status", "corrected", "notes", "reviewed_at")
 
 
+def unknown_updates(spark, d):
+    """Updates of tasks that there are not: those of a task table without its events of low significance."""
+    return V.unknown_updates(V.with_defaults(_tasks(spark, d)).where("priority <> 'medium'"), _updates(spark, d)).select("task_id", "corrected")
+
+
 def corrections(spark, d):
     return V.corrections(V.update(V.with_defaults(_tasks(spark, d)), _updates(spark, d)))
 
@@ -232,7 +240,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         quality_stats, quality_assessment, recommendations, quality_summary, priority_tasks, high_priority, edge_context, supporting_chunk, fallback_evaluation, without_auto_created, task_defaults,
-        pending_tasks, find_task, review_upsert, corrections, export_corrected, task_cards, schema_rules, dataset_counts, uniqueness, not_null, unknown_keys, unknown_kinds, ref_integrity,
+        pending_tasks, find_task, review_upsert, unknown_updates, corrections, export_corrected, task_cards, schema_rules, dataset_counts, uniqueness, not_null, unknown_keys, unknown_kinds, ref_integrity,
         prompt_fanout, parse_llm_json, supporting_text, model_call,
     )
 }
@@ -240,7 +248,7 @@ QUERIES = {
 _LV = "['poor', 'fair', 'good', 'excellent'][(rec_id % 4 + 1)::int]"
 _EV = "\nUNION ALL ".join(
     f"SELECT 'entity' AS item_kind, '{k}' AS entity_type, rec_id::varchar AS item_id, rec_id AS ord, (source_chunk % 5)::double + 1 AS c0, CASE WHEN reviewed IS NOT NULL THEN {_LV} END AS q0, (rec_id % 6)::int AS sev, NOT coalesce(reviewed, false) AS flag FROM {t}"
-    for t, k in (("actors", "actor"), ("concepts", "concept"))
+    for t, k in (("actors", "actor"), ("concepts", "concept"), ("event_records", "event"))
 ) + """
 UNION ALL SELECT 'relationship', NULL, rel_id::varchar, rel_id, strength::double, CASE WHEN confidence >= 0.75 THEN 'excellent' WHEN confidence >= 0.5 THEN 'good' WHEN confidence >= 0.25 THEN 'fair' WHEN confidence IS NOT NULL THEN 'poor' END, NULL, confidence < 0.25 FROM relationships"""
 _AS = f"""ev AS ({_EV}), r AS (SELECT item_kind, coalesce(entity_type, 'relationship') AS entity_type, coalesce(c0, 1.0) AS c, coalesce(q0, 'poor') AS q FROM ev),
@@ -317,14 +325,15 @@ SELECT * FROM f UNION ALL SELECT 9, 'Extraction quality is acceptable' WHERE NOT
     f" printf('%.1f%%', 100.0 * count(*) FILTER (coalesce(flag, false)) / count(*)) AS review_rate FROM ({_EV}) e",
     "priority_tasks": f"WITH {_TK} SELECT sha256(item_kind || '|' || item_id) AS task_id, item_kind || '_review' AS task_type, entity_type, item_id, priority, c0 AS confidence, q0 AS quality FROM tk",
     "high_priority": f"WITH {_TK} SELECT count(*) FILTER (priority >= 7) AS n_high FROM tk",
-    "edge_context": "WITH a AS (SELECT id, arg_min_null(name, rec_id) AS name FROM actors WHERE id IS NOT NULL GROUP BY id) SELECT rel_id, x.name AS source_name, y.name AS target_name FROM relationships r LEFT JOIN a x ON x.id = r.source LEFT JOIN a y ON y.id = r.target",
-    "supporting_chunk": "SELECT rec_id, md5(coalesce(c.text, '')) AS digest FROM event_records e LEFT JOIN chunks c ON c.chunk_id = e.source_chunk",
+    "edge_context": f"WITH a AS ({_V}) SELECT rel_id, x.name AS source_name, y.name AS target_name FROM relationships r LEFT JOIN a x ON x.id = r.source LEFT JOIN a y ON y.id = r.target",
+    "supporting_chunk": "SELECT rec_id, md5(coalesce(i.text, c.text, '')) AS digest FROM event_records e LEFT JOIN chunks i ON i.chunk_id % 2 = 0 AND i.chunk_id + 1 = e.source_chunk LEFT JOIN chunks c ON c.chunk_id = e.source_chunk",
     "fallback_evaluation": "SELECT rec_id, CASE WHEN definition IS NULL THEN 1.0::double ELSE 4.0::double END AS overall_confidence, CASE WHEN definition IS NULL THEN 'poor' ELSE 'good' END AS extraction_quality, definition IS NULL AS human_review_recommended, definition IS NULL AS failed, CASE WHEN definition IS NULL THEN 1::bigint ELSE 0::bigint END AS n_grave FROM concepts",
     "without_auto_created": "SELECT rec_id FROM event_records WHERE NOT coalesce(starts_with(description, 'Auto-created'), false)",
     "task_defaults": f"WITH {_T} SELECT task_id, priority, status FROM tasks",
     "pending_tasks": f"WITH {_T} SELECT task_id, priority, ord FROM tasks WHERE status = 'pending_review'",
     "find_task": f"WITH {_T} SELECT task_id, extracted FROM tasks WHERE task_id = 't7' LIMIT 1",
     "review_upsert": f"WITH {_T}, {_U} SELECT t.task_id, CASE WHEN u.task_id IS NOT NULL THEN 'reviewed' ELSE status END AS status, u.corrected, CASE WHEN u.task_id IS NOT NULL THEN 'checked' END AS notes, u.reviewed_at FROM tasks t LEFT JOIN u ON u.task_id = t.task_id",
+    "unknown_updates": f"WITH {_T}, {_U} SELECT u.task_id, u.corrected FROM u WHERE NOT EXISTS (SELECT 1 FROM tasks t WHERE t.task_id = u.task_id AND t.priority <> 'medium')",
     "corrections": f"WITH {_T}, {_U} SELECT t.task_id, extracted AS original, coalesce(u.corrected, extracted) AS corrected FROM tasks t LEFT JOIN u ON u.task_id = t.task_id WHERE u.task_id IS NOT NULL OR status = 'reviewed'",
     "export_corrected": f"WITH {_T} SELECT 'event' AS kind, extracted AS item, count(*) AS n FROM tasks WHERE status = 'reviewed' GROUP BY extracted",
     "task_cards": f"WITH {_T} SELECT left(task_id, 8) AS short_id, 'Entity Review' AS type, replace(note, chr(10), '<br>') AS note FROM tasks",

@@ -18,12 +18,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local tests) a temporary folder is set.
-    Unlike localCheckpoint the copy survives the loss of executors.
+    Only where that setting is absent and the master is local (tests) a temporary
+    folder is set; on a cluster a missing setting is an error, as a folder of one
+    machine would be lost with it. Unlike localCheckpoint the copy survives the
+    loss of executors.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if not spark.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="graphloom-"))
     return df.checkpoint(eager=True)
 

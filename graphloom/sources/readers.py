@@ -133,8 +133,17 @@ def read_binary(spark: SparkSession, paths: str | list[str], glob: str) -> DataF
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
 
 
+def unreadable(spark: SparkSession, path: str, wanted: str = "chunks") -> DataFrame:
+    """(path, error) of the JSON files that hold neither a list nor an object with the list ``wanted``; the readers give no row for them."""
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("v"))
+    kind = F.schema_of_variant("v")
+    inner = F.schema_of_variant(F.try_variant_get("v", f"$.{wanted}", "variant"))
+    error = F.when(F.col("v").isNull(), "no JSON").when(~(kind.startswith("ARRAY") | F.coalesce(inner.startswith("ARRAY"), F.lit(False))), f"no list of {wanted}")
+    return raw.select("path", error.alias("error")).where("error IS NOT NULL")
+
+
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """Chunks of a JSON file: a list, or an object with a 'chunks' list; positions become chunk_ix when absent. A broken file gives no row."""
+    """Chunks of a JSON file: a list, or an object with a 'chunks' list; positions become chunk_ix when absent. A broken file gives no row (see :func:`unreadable`)."""
     flat = T._parse_datatype_string(CHUNK_SCHEMA)
     raw = spark.read.text(path, wholetext=True)
     as_list = F.from_json("value", T.ArrayType(flat))
@@ -153,7 +162,7 @@ def read_graph(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def read_tasks(spark: SparkSession, path: str) -> DataFrame:
-    """Review tasks of a file with a 'review_tasks' list; a broken or missing list is empty."""
+    """Review tasks of a file with a 'review_tasks' list; a broken or missing list is empty (see :func:`unreadable`)."""
     return (
         spark.read.text(path, wholetext=True)
         .select(F.posexplode(F.from_json("value", f"review_tasks array<struct<{TASK_ITEM}>>")["review_tasks"]).alias("ord", "t"))
