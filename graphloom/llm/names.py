@@ -27,6 +27,8 @@ Q, ROWS = 2, 4
 MEET, RECALL = 0.5, 0.98
 #: forms that hold a part of more canonical forms than this meet on it together with a second trait of the name
 COMMON = 64
+#: spellings of one entity in a block of the pair list
+BLOCK = 1000
 #: least Monge-Elkan similarity, and most typing errors between two writings of one name
 THRESHOLD, MAX_EDITS = 0.8, 2
 
@@ -496,11 +498,9 @@ def entities(actors: DataFrame, threshold: float = THRESHOLD, nicknames: Table =
 
 def variant_pairs(found: DataFrame) -> DataFrame:
     """(name_a, name_b), name_a < name_b by code points: the spellings of one entity, once per pair."""
-    many = found.groupBy("entity").count().where("count > 1").select("entity")
-    m = found.join(many, "entity")
-    return (
-        m.select("entity", F.col("name").alias("name_a"))
-        .join(m.select("entity", F.col("name").alias("name_b")), "entity")
-        .where(F.col("name_a") < F.col("name_b"))
-        .select("name_a", "name_b")
-    )
+    size = found.groupBy("entity").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("n"))
+    m = found.join(size.where("n > 1"), "entity")
+    # the spellings of a large entity are dealt over blocks; each stands once as the second name and in all blocks as the first
+    first = m.select("entity", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("name").alias("name_a"))
+    second = m.select("entity", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int").alias("block"), F.col("name").alias("name_b"))
+    return first.join(second, ["entity", "block"]).where(F.col("name_a") < F.col("name_b")).select("name_a", "name_b")

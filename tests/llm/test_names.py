@@ -59,3 +59,10 @@ def test_recall_among_common_parts(spark, common, monkeypatch):
 def test_two_people_with_short_names_stay_apart():
     for a, b in (("Ann Li", "Jan Li"), ("Ann Li", "Ann Lu"), ("Jack Ma", "Jack Mo"), ("Anna Lee", "B. Lee")):
         assert names.verify(*names.parse(a), *names.parse(b)) < names.THRESHOLD, (a, b)
+
+
+def test_pairs_of_a_large_entity(spark, monkeypatch):
+    monkeypatch.setattr(names, "BLOCK", 7)
+    rows = [(f"n{i:02}", 1) for i in range(40)] + [("x", 2), ("y", 3), ("z", 3)]
+    got = sorted((r.name_a, r.name_b) for r in names.variant_pairs(spark.createDataFrame(rows, "name string, entity bigint")).collect())
+    assert got == sorted([(f"n{i:02}", f"n{j:02}") for i in range(40) for j in range(i + 1, 40)] + [("y", "z")])
