@@ -76,6 +76,7 @@ def _given_names(pairs: tuple) -> frozenset[str]:
 
 
 _KIND_OF = {s: k for k, ss in KINDS.items() for s in (k, *ss)}
+_KIND_LETTERS = tuple((k, frozenset(k)) for k in KINDS)
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -85,13 +86,16 @@ def fold(s: str) -> str:
     return "".join(c for c in s if not unicodedata.combining(c)).lower()
 
 
+@functools.lru_cache(100_000)
 def _kind(token: str) -> str | None:
     """The kind of organisation a token writes, with at most one typing error in six letters."""
     if token in _KIND_OF:
         return _KIND_OF[token]
     if len(token) >= 5:
-        for k in KINDS:
-            if abs(len(k) - len(token)) <= 2 and osa(token, k, 2) <= (2 if len(k) >= 7 else 1):
+        letters = frozenset(token)
+        for k, own in _KIND_LETTERS:
+            # an edit changes at most two of the letters that the words hold
+            if abs(len(k) - len(token)) <= 2 and len(letters ^ own) <= 4 and osa(token, k, 2) <= (2 if len(k) >= 7 else 1):
                 return k
     return None
 
@@ -414,9 +418,9 @@ def links(parsed: DataFrame, threshold: float = THRESHOLD, table: Table = NICKNA
         .select("fid", F.array_join("parts", " ").alias("part"))
     )
     keys = cut_lineage(keys.select("fid", "part").unionByName(whole))
-    bands = _bands(keys.select("part").distinct(), bands_for(), ROWS)
+    bands = cut_lineage(_bands(keys.select("part").distinct(), bands_for(), ROWS))
     x, y = bands.select("band", "bucket", F.col("part").alias("x")), bands.select("band", "bucket", F.col("part").alias("y"))
-    near = (
+    near = cut_lineage(
         x.join(y, ["band", "bucket"])
         .where(F.col("x") < F.col("y"))
         # at most three plain edits, that is a transposition and one more, and a third of the letters
@@ -445,7 +449,8 @@ def links(parsed: DataFrame, threshold: float = THRESHOLD, table: Table = NICKNA
             out = pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "score": score})
             yield out[out["score"] >= threshold]
 
-    return both.mapInPandas(run, "a bigint, b bigint, score double")
+    # verified once, read by every round of the clustering
+    return cut_lineage(spread(both).mapInPandas(run, "a bigint, b bigint, score double"))
 
 
 def star_clusters(edges: DataFrame, weight: DataFrame) -> DataFrame:
