@@ -131,11 +131,17 @@ def fuzzy_best_match(mentions: DataFrame, entities: DataFrame, kind: str = "kind
         return rows.join(rows.groupBy("kind", "g").agg(F.count("*").alias("f")), ["kind", "g"])
 
     def meet(x: DataFrame, y: DataFrame, inside: bool) -> DataFrame:
-        """(kind, mn, en) of mentions and entities that share a key; with ``inside`` only where x is part of y."""
-        a = x.select("kind", "g", F.col("n").alias("xn"), F.col("m").alias("xm"), F.col("e").alias("xe"))
-        b = y.select("kind", "g", F.col("n").alias("yn"), F.col("m").alias("ym"), F.col("e").alias("ye"))
+        """(kind, mn, en) of mentions and entities that share a key; only where x is part of y, or with enough words ``ws`` in common."""
+        ws = [] if inside else ["ws"]
+        a = x.select("kind", "g", F.col("n").alias("xn"), F.col("m").alias("xm"), F.col("e").alias("xe"), *(F.col(c).alias("xw") for c in ws))
+        b = y.select("kind", "g", F.col("n").alias("yn"), F.col("m").alias("ym"), F.col("e").alias("ye"), *(F.col(c).alias("yw") for c in ws))
         got = a.join(b, ["kind", "g"]).where((F.col("xm") & F.col("ye")) | (F.col("xe") & F.col("ym")))
-        got = got.where(F.col("yn").contains(F.col("xn"))) if inside else got
+        if inside:
+            got = got.where(F.col("yn").contains(F.col("xn")))
+        else:
+            # judged on the words at hand before a pair is kept
+            both = F.size(F.array_intersect("xw", "yw"))
+            got = got.where(both > F.lit(max(threshold - KEYWORD_BONUS, 0.0)) * (F.size("xw") + F.size("yw") - both) - 1e-9)
         pair = lambda p, q: F.struct(F.col(p).alias("mn"), F.col(q).alias("en"))
         both = F.array(F.when(F.col("xm") & F.col("ye"), pair("xn", "yn")), F.when(F.col("xe") & F.col("ym"), pair("yn", "xn")))
         return got.select("kind", F.explode(F.array_compact(both)).alias("p")).select("kind", "p.mn", "p.en")
@@ -154,7 +160,8 @@ def fuzzy_best_match(mentions: DataFrame, entities: DataFrame, kind: str = "kind
     need = F.floor(F.lit(least) * F.size("gs") + 1e-9) + 1
     prefix = F.greatest(F.size("gs") - need + 1, F.lit(1)).cast("int")
     ranked = keyed(words("n")).groupBy("kind", "n", "m", "e").agg(F.array_sort(F.collect_list(F.struct("f", "g"))).alias("gs"))
-    lead = ranked.select("kind", "n", "m", "e", F.explode(F.slice("gs", F.lit(1), prefix)).alias("x")).select("kind", "n", "m", "e", "x.g")
+    ws = F.transform("gs", lambda x: x["g"]).alias("ws")
+    lead = cut_lineage(ranked.select("kind", "n", "m", "e", ws, F.explode(F.slice("gs", F.lit(1), prefix)).alias("x")).select("kind", "n", "m", "e", "ws", "x.g"))
     pairs = found.unionByName(meet(lead, lead, False)).distinct()
     scored = pairs.withColumn("score", name_similarity("mn", "en", by_word)).where(F.col("score") > threshold)
     best = scored.join(first.withColumnRenamed("n", "en"), ["kind", "en"]).groupBy("kind", "mn").agg(F.min(F.struct((-F.col("score")).alias("neg"), "first.ord", "first.id")).alias("b"))
