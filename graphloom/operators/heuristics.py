@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import json
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import context_window, keyword_ladder
-from graphloom.runtime import cut_lineage
+from graphloom.runtime import cut_lineage, spread
 
 #: fixed values: mention patterns and the group that holds the mention
 MENTION_PATTERNS = {
@@ -119,13 +119,16 @@ def key_phrases(docs: DataFrame, n: int = 20, stop_words: tuple[str, ...] = (),
     """
     spark = docs.sparkSession
     token = F.filter(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)), lambda w: ~w.isin(*stop_words) if stop_words else F.lit(True))
-    toks = docs.select(F.coalesce(token, F.array().cast("array<string>")).alias("t"))
+    toks = spread(docs.select(text)).select(F.coalesce(token, F.array().cast("array<string>")).alias("t"))
     n_docs = docs.count()
     none = F.array().cast("array<string>")
 
-    def grams(k: int) -> Column:
-        places = F.when(F.size("t") >= k, F.sequence(F.lit(1), F.size("t") - k + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.array_join(F.slice("t", i, F.lit(k)), " "))
+    def at(k: int) -> Column:
+        """0-based places of the phrases of k words."""
+        return F.when(F.size("t") >= k, F.sequence(F.lit(0), F.size("t") - k)).otherwise(F.array().cast("array<int>"))
+
+    def grams(k: int, places: Column | None = None) -> Column:
+        return F.col("t") if k == 1 and places is None else F.transform(at(k) if places is None else places, lambda i: F.concat_ws(" ", *(F.get("t", i + j) for j in range(k))))
 
     def counted(terms: DataFrame) -> DataFrame:
         """(term, freq, df) of rows with an array ``g``."""
@@ -149,9 +152,7 @@ def key_phrases(docs: DataFrame, n: int = 20, stop_words: tuple[str, ...] = (),
     marked = toks.withColumn("ok", ok)
 
     def able_grams(k: int) -> Column:
-        places = F.when(F.size("t") >= k, F.sequence(F.lit(1), F.size("t") - k + 1)).otherwise(F.array().cast("array<int>"))
-        full = F.filter(places, lambda i: F.forall(F.slice("ok", i, F.lit(k)), lambda x: x))
-        return F.transform(full, lambda i: F.array_join(F.slice("t", i, F.lit(k)), " "))
+        return grams(k, F.filter(at(k), lambda i: functools.reduce(lambda a, b: a & b, [F.get("ok", i + j) for j in range(k)])))
 
     phrases = F.concat(*(able_grams(k) for k in range(2, max_words + 1))) if max_words > 1 else none
     counts = best if max_words < 2 else best.unionByName(kept(counted(marked.select(phrases.alias("g")))))
