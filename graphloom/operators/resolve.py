@@ -63,12 +63,19 @@ def resolve_entities(entities: DataFrame, keys: list[str], order: str, joined: d
 
 
 def _fold_join(seq: Column, sep: str) -> Column:
-    """Texts appended one after another, each only when it differs from what has been joined so far."""
-    return F.aggregate(
-        seq,
-        F.lit(None).cast("string"),
-        lambda acc, v: F.when(acc.isNull(), v).when(acc == v, acc).otherwise(F.concat(acc, F.lit(sep), v)),
-    )
+    """Texts appended one after another, each only when it differs from what has been joined so far.
+
+    The parts are joined once at the end; what has been joined is only compared with
+    a text of the same length.
+    """
+    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(-len(sep)).alias("size"))
+
+    def step(acc: Column, v: Column) -> Column:
+        n = F.char_length(v)
+        same = (acc["size"] == n) & (F.array_join(acc["parts"], sep) == v)
+        return F.when(same, acc).otherwise(F.struct(F.array_append(acc["parts"], v).alias("parts"), (acc["size"] + len(sep) + n).alias("size")))
+
+    return F.aggregate(seq, start, step, lambda acc: F.when(F.size(acc["parts"]) > 0, F.array_join(acc["parts"], sep)))
 
 
 def dedup_edges(edges: DataFrame, order: str, keys: tuple[str, ...] = ("source_id", "target_id", "relationship_type")) -> DataFrame:

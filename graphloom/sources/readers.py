@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.functions.text import base_name
-from graphloom.operators.structure import html_text, html_title, normalize_newlines
+from graphloom.operators.structure import html_text, html_title, normalize_newlines, sections, upper_header
+from graphloom.sources import pdf as pdf_text
 
 CHUNK_SCHEMA = "chunk_ix int, text string, metadata struct<section_title:string,source:string,title:string,type:string>"
 TASK_ITEM = "task_id:string,priority:string,status:string,task_type:string,entity_type:string,reason:string,extracted:string,corrected:string,notes:string"
@@ -82,16 +83,15 @@ def read_docx(files: DataFrame) -> DataFrame:
 
 
 def _pdf_readers():
-    """Installed PDF readers in order of preference; both are optional extras."""
+    """PDF readers in order of preference, each giving the pages and the properties; the first two are optional extras."""
     out = []
     try:
         import pypdf
 
         def first(content: bytes):
             r = pypdf.PdfReader(io.BytesIO(content))
-            info = r.metadata or {}
-            pages = [p.extract_text() or "" for p in r.pages]
-            return "".join(p + "\n\n" for p in pages), info.get("/Title"), info.get("/Author"), len(pages)
+            info = {k.lstrip("/"): str(v) for k, v in (r.metadata or {}).items()}
+            return [p.extract_text() or "" for p in r.pages], info
 
         out.append(first)
     except ImportError:
@@ -99,34 +99,47 @@ def _pdf_readers():
     try:
         from pdfminer.high_level import extract_text
 
-        out.append(lambda content: (extract_text(io.BytesIO(content)), None, None, None))
+        # pages end with a form feed
+        out.append(lambda content: (extract_text(io.BytesIO(content)).split("\f"), {}))
     except ImportError:
         pass
-    return out
+    return [*out, pdf_text.read]
+
 
+def read_pdf(files: DataFrame, readers=None) -> DataFrame:
+    """(source, title, author, pages, text, page_lines, error): the first reader that succeeds, else the last one's error.
 
-def read_pdf(files: DataFrame) -> DataFrame:
-    """(source, title, author, pages, text, error): the first reader that succeeds; without one the error says so."""
+    ``text`` joins the pages that hold text by blank lines; ``page_lines`` is their
+    lines without blank ones between pages, from which :func:`pdf_sections` cuts
+    sections. A file without a title is named by its path. ``readers`` are
+    functions from the content to (pages, properties).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        readers = _pdf_readers()
+        known = _pdf_readers() if readers is None else readers
         for pdf in batches:
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
-                error = "no PDF reader is installed"
-                for r in readers:
+                error, name = "no PDF reader is installed", path.rsplit("/", 1)[-1]
+                for r in known:
                     try:
-                        text, title, author, pages = r(content)
-                        rows.append((path, title or path.rsplit("/", 1)[-1], author, pages, text, None))
+                        pages, info = r(content)
+                        full = [p for p in pages if p]
+                        rows.append((path, info.get("Title") or name, info.get("Author"), len(pages), "".join(p + "\n\n" for p in full), "\n".join(full), None))
                         break
                     except Exception as e:  # noqa: BLE001
                         error = f"{type(e).__name__}: {e}"
                 else:
-                    rows.append((path, path.rsplit("/", 1)[-1], None, None, None, error))
-            out = pd.DataFrame(rows, columns=["source", "title", "author", "pages", "text", "error"])
+                    rows.append((path, name, None, None, None, None, error))
+            out = pd.DataFrame(rows, columns=["source", "title", "author", "pages", "text", "page_lines", "error"])
             yield out.astype({"pages": "Int32"})
 
-    return files.select("path", "content").mapInPandas(run, "source string, title string, author string, pages int, text string, error string")
+    return files.select("path", "content").mapInPandas(run, "source string, title string, author string, pages int, text string, page_lines string, error string")
+
+
+def pdf_sections(docs: DataFrame) -> DataFrame:
+    """(source, section_no, title, content) of :func:`read_pdf` rows: an upper-case line of any page opens a section."""
+    return sections(docs, upper_header, key="source", text="page_lines")
 
 
 def read_binary(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
