@@ -307,16 +307,19 @@ def _pass(docs: DataFrame, reader_args, text: str) -> DataFrame:
         reader = Reader(*reader_args) if reader_args else None
         pairs: dict[str, float] = defaultdict(float)
         chains: dict[tuple[int, str], float] = defaultdict(float)
-        memo: dict[str, list[str]] = {}
+        # tokens are counted first and cut into bigrams once each
+        weights: dict[str, float] = {}
+
+        def spend() -> None:
+            for t, w in weights.items():
+                for k in bigrams(t):
+                    pairs[k] += w
+            weights.clear()
 
         def add(token: str, w: float) -> None:
-            b = memo.get(token)
-            if b is None:
-                if len(memo) > 200_000:
-                    memo.clear()
-                b = memo[token] = bigrams(token)
-            for k in b:
-                pairs[k] += w
+            weights[token] = weights.get(token, 0.0) + w
+            if len(weights) > 50_000:
+                spend()
 
         for pdf in batches:
             for t, bucket in zip(pdf[text], pdf["bucket"]):
@@ -341,6 +344,7 @@ def _pass(docs: DataFrame, reader_args, text: str) -> DataFrame:
                         add(plain, n * (1 - post[c] * w) if r else n)
                     if r and c != LOSSY:
                         add(r, n * post[c] * w)
+        spend()
         rows = [("pair", k, 0, n) for k, n in pairs.items()] + [("chain", c, b, n) for (b, c), n in chains.items()]
         yield pd.DataFrame(rows, columns=["kind", "key", "bucket", "n"])
 
