@@ -137,6 +137,17 @@ def parts_of(line: str, kind: str, title: str | None = None) -> list[str]:
 
 def _lines(web: DataFrame, frequent: frozenset[str]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # what a site repeats is named once
+        memo: dict[tuple[str, str], str] = {}
+
+        def name(part: str, site: str) -> str:
+            got = memo.get((part, site))
+            if got is None:
+                if len(memo) > 100_000:
+                    memo.clear()
+                got = memo[part, site] = node_name(part, site, frequent)
+            return got
+
         for pdf in batches:
             rows = []
             for cid, ix, src, title, text in zip(pdf["chunk_id"], pdf["chunk_ix"], pdf["source"], pdf["title"], pdf["text"]):
@@ -147,7 +158,7 @@ def _lines(web: DataFrame, frequent: frozenset[str]) -> DataFrame:
                     if not ln.strip():
                         continue
                     kind = style(ln, title)
-                    names = [node_name(p, site, frequent) for p in parts_of(ln, kind, title)]
+                    names = [name(p, site) for p in parts_of(ln, kind, title)]
                     rows.append((cid, i, ix, host, src or f"chunk {cid}", kind, at, names))
             yield pd.DataFrame(rows, columns=["chunk_id", "line_no", "chunk_ix", "host", "page", "kind", "headline_at", "nodes"])
 
