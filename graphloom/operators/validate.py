@@ -24,13 +24,15 @@ EVENT_TYPES = ("Publication", "Conference", "Policy", "Research", "Movement", "O
 ACTOR_TYPES = ("Individual", "Institution", "Government", "NGO", "Coalition", "Other")
 LOCATION_TYPES = ("City", "Country", "Region", "Virtual", "Natural", "Institution", "Other")
 ENDPOINT_TYPES = ("Event", "Actor", "Location", "Concept", "Publication")
-RELATIONSHIP_TYPES = tuple(
-    "Influences IsInfluencedBy Precedes Follows References IsReferencedBy Participates Develops IsLocatedIn Contains Publishes IsPublishedBy"
-    " Advocates Criticizes Collaborates Funds IsFundedBy Implements IsImplementedBy Builds IsBuiltOn Extends IsExtendedBy Other".split()
-)
-DOMAINS = tuple(
-    "Ecology PublicHealth Medicine EnvironmentalScience SocialScience Policy Economics Ethics Sustainability ClimateScience Biodiversity OneHealth PlanetaryBoundaries Other".split()
-)
+RELATIONSHIP_TYPES = (
+    "Influences", "IsInfluencedBy", "Precedes", "Follows", "References", "IsReferencedBy", "Participates", "Develops", "IsLocatedIn", "Contains",
+    "Publishes", "IsPublishedBy", "Advocates", "Criticizes", "Collaborates", "Funds", "IsFundedBy", "Implements", "IsImplementedBy", "Builds",
+    "IsBuiltOn", "Extends", "IsExtendedBy", "Other",
+)
+DOMAINS = (
+    "Ecology", "PublicHealth", "Medicine", "EnvironmentalScience", "SocialScience", "Policy", "Economics", "Ethics", "Sustainability",
+    "ClimateScience", "Biodiversity", "OneHealth", "PlanetaryBoundaries", "Other",
+)
 PUBLICATION_TYPES = (
     "Journal Article", "Book", "Book Chapter", "Conference Paper", "Report", "Policy Brief", "White Paper", "Thesis", "Preprint", "Commentary", "Review", "Editorial", "Other",
 )
